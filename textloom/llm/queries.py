@@ -16,6 +16,18 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents")).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textloom.llm.bpe import encode
+
+    return encode(table(spark, sf_dir, "documents"), digests=True)
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textloom.llm.simhash import digits, groups
+
+    return groups(table(spark, sf_dir, "documents")).select("doc_id", digits().alias("fingerprint"), "component_id")
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textloom.llm.tokenfile import read_tokens, write_tokens
 
@@ -24,6 +36,12 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, files, folder).select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textloom.llm.minhash import edited_likeness
+
+    return edited_likeness(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textloom.llm.sharding import shard_documents
 
@@ -34,7 +52,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_bpe": op2_bpe,
+    "op4_simhash": op4_simhash,
     "op6_token_files": op6_token_files,
+    "op8_minhash": op8_minhash,
     "op10_sharding": op10_sharding,
 }
 
