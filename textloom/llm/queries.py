@@ -28,6 +28,12 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups(table(spark, sf_dir, "documents")).select("doc_id", digits().alias("fingerprint"), "component_id")
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textloom.llm.ann import search
+
+    return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textloom.llm.tokenfile import read_tokens, write_tokens
 
@@ -36,6 +42,14 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, files, folder).select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textloom.llm.langid import fit, held_out, identify
+
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs.where(~held_out()))
+    return identify(docs.select("doc_id", "text"), model).select("doc_id", held_out().alias("held_out"), F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"), F.col("_rejected").alias("rejected"))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textloom.llm.minhash import edited_likeness
 
@@ -54,7 +68,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_bpe": op2_bpe,
     "op4_simhash": op4_simhash,
+    "op5_neighbours": op5_neighbours,
     "op6_token_files": op6_token_files,
+    "op7_language": op7_language,
     "op8_minhash": op8_minhash,
     "op10_sharding": op10_sharding,
 }
