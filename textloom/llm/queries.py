@@ -22,6 +22,13 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), digests=True)
 
 
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textloom.llm.html import extract
+
+    pages = extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", F.col("_text").alias("text"), F.char_length("_text").cast("long").alias("n_chars"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textloom.llm.simhash import digits, groups
 
@@ -67,6 +74,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_bpe": op2_bpe,
+    "op3_html": op3_html,
     "op4_simhash": op4_simhash,
     "op5_neighbours": op5_neighbours,
     "op6_token_files": op6_token_files,
