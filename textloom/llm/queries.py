@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm._common import new_folder, table
+from textloom.llm._common import new_folder, table, text_or_empty
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +63,13 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_likeness(table(spark, sf_dir, "documents"))
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from textloom.llm.suffix import remove_repeats
+
+    kept = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", F.octet_length(text_or_empty()).cast("long").alias("n_bytes"), F.col("_removed").alias("n_removed"), F.col("_spans").alias("n_spans"), F.sha2("_kept", 256).alias("kept_sha256"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textloom.llm.sharding import shard_documents
 
@@ -80,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_files": op6_token_files,
     "op7_language": op7_language,
     "op8_minhash": op8_minhash,
+    "op9_repeats": op9_repeats,
     "op10_sharding": op10_sharding,
 }
 
