@@ -27,6 +27,8 @@ SHINGLE = 3
 DISTANCE = 3
 #: Fingerprints under one key that a task compares at once; more are dealt to pairs of blocks.
 BLOCK = 1 << 15
+#: Keys with so few rows are searched together.
+FEW = 32
 
 
 def fingerprint(text: str, shingle: int = SHINGLE) -> int:
@@ -61,12 +63,16 @@ def with_fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def position_sets(distance: int) -> list[tuple[int, ...]]:
-    """Sets of byte positions such that two fingerprints within the distance agree on one of them at least."""
+    """Sets of byte positions such that two fingerprints within the distance share all bytes of one of them.
+
+    Up to three bits: the Steiner system. Up to six, 8 - distance bytes are shared: with one group of
+    positions less than that, two of the shared ones are in one group, so pairs inside groups do.
+    """
     if distance <= 3:
         return [s for s in combinations(range(8), 4) if s[0] ^ s[1] ^ s[2] ^ s[3] == 0]
-    if distance > 7:
-        raise ValueError("eight bytes guarantee a shared one only up to seven differing bits")
-    return [tuple(range(k, 8, distance + 1)) for k in range(distance + 1)]
+    if distance > 6:
+        raise ValueError("two of eight bytes are sure to be shared only up to six differing bits")
+    return [s for s in combinations(range(8), 2) if s[0] % (7 - distance) == s[1] % (7 - distance)]
 
 
 def _signed(x: int) -> int:
@@ -80,10 +86,7 @@ def forest(fps: np.ndarray, distance: int) -> list[tuple[np.ndarray, np.ndarray]
         queue, rest = [rest[0]], rest[1:]
         while queue and len(rest):
             x = queue.pop()
-            differ = rest ^ x
-            shared = (differ.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1)
-            near = shared >= 8 - distance
-            near[near] = np.bitwise_count(differ[near]) <= distance
+            near = _close(rest ^ x, distance)
             if near.any():
                 found = rest[near]
                 out.append((np.full(len(found), x), found))
@@ -92,16 +95,35 @@ def forest(fps: np.ndarray, distance: int) -> list[tuple[np.ndarray, np.ndarray]
     return out
 
 
+def _close(differ: np.ndarray, distance: int) -> np.ndarray:
+    """Which of these differences share enough bytes, and then differ in few enough bits."""
+    near = (differ.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1) >= 8 - distance
+    near[near] = np.bitwise_count(differ[near]) <= distance
+    return near
+
+
 def _links(distance: int, block: int):
     """Over rows (k, fp) sorted by k: links (0, a, b), and of a key with over ``block`` rows its rows (block number + 1, k, fp)."""
 
+    def rows(kind, a, b) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.asarray(kind, np.int64)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["kind", "a", "b"])
+
+    def few(keys: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Keys with at most FEW rows: each row with the next of its key, the one after, and so on."""
+        at = np.arange(len(keys))
+        for lag in range(1, FEW):
+            at = at[at + lag < len(keys)]
+            at = at[keys[at] == keys[at + lag]]
+            if not len(at):
+                return
+            near = at[_close(fps[at] ^ fps[at + lag], distance)]
+            if len(near):
+                yield rows(np.zeros(len(near)), fps[near], fps[near + lag])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         key, count = None, 0
 
-        def rows(kind, a, b) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(kind.astype(np.int64)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["kind", "a", "b"])
-
         def members(fps: np.ndarray, first: int) -> pa.RecordBatch:
             return rows((np.arange(len(fps)) + first) // block + 1, np.full(len(fps), key, np.int64), fps)
 
@@ -112,10 +134,16 @@ def _links(distance: int, block: int):
 
         for batch in batches:
             keys, fps = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
-            cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
-            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
-                if a == b:
-                    continue
+            if not len(keys):
+                continue
+            cuts = np.r_[0, np.flatnonzero(keys[1:] != keys[:-1]) + 1, len(keys)]
+            sizes = np.diff(cuts)
+            # Keys that begin and end inside this batch and have few rows go together; the others, one by one.
+            small = sizes <= FEW
+            small[0] = small[-1] = False
+            inside = np.repeat(small, sizes)
+            yield from few(keys[inside], fps[inside])
+            for a, b in zip(cuts[:-1][~small].tolist(), cuts[1:][~small].tolist()):
                 if keys[a] != key:
                     yield from close()
                     held, key, count = [], int(keys[a]), 0
