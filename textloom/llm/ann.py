@@ -47,13 +47,14 @@ def balanced_parts(x: np.ndarray, graph: np.ndarray, parts: int, rounds: int = 1
     """Equal halves along the main axis, again and again; then moves to the part of most neighbours while it has room."""
     part = np.zeros(len(x), np.int64)
     for _ in range(parts.bit_length() - 1):
+        half = np.zeros_like(part)
         for p in np.unique(part):
             at = np.flatnonzero(part == p)
             y = x[at] - x[at].mean(axis=0)
             axis = np.linalg.eigh(y.T @ y)[1][:, -1]
             order = at[np.argsort(y @ axis, kind="stable")]
-            part[at] = 2 * p
-            part[order[len(order) // 2 :]] = 2 * p + 1
+            half[order[len(order) // 2 :]] = 1
+        part = 2 * part + half
     ends = np.repeat(np.arange(len(x)), graph.shape[1]), graph.reshape(-1)
     room = int(np.ceil(slack * len(x) / parts))
     for _ in range(rounds):
