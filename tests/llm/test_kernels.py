@@ -153,16 +153,19 @@ def test_links_make_the_groups_of_all_pairs(distance, block):
 
     def go(rows, size):
         rows = sorted(rows)
-        k, f = np.array([x[0] for x in rows], np.int64), np.array([x[1] for x in rows], np.uint64).view(np.int64)
-        batches = [pa.RecordBatch.from_arrays([pa.array(k[i : i + 97]), pa.array(f[i : i + 97])], ["k", "fp"]) for i in range(0, len(k), 97)]
+        k, node = (np.array([x[i] for x in rows], np.int64) for i in (0, 1))
+        value = np.array([x[2] % (1 << 64) for x in rows], np.uint64).view(np.int64)
+        batches = [pa.RecordBatch.from_arrays([pa.array(x[i : i + 97]) for x in (k, node, value)], ["k", "node", "value"]) for i in range(0, len(k), 97)]
         return [x for b in simhash._links(distance, size)(iter(batches)) for x in zip(*[c.to_pylist() for c in b.columns])]
 
-    met = go([(hash((n, int(x) & m)) >> 2, int(x)) for x in fps for n, m in enumerate(masks)], block)
+    numbered = lambda h, n: (h >> 2) & ~simhash._SETS | n
+    met = go([(numbered(hash((n, int(x) & m)), n), i, int(x)) for i, x in enumerate(fps) for n, m in enumerate(masks)], block)
     large = [x for x in met if x[0]]
     blocks = defaultdict(int)
-    for n, k, _ in large:
+    for n, k, *_ in large:
         blocks[k] = max(blocks[k], n)
-    met = [x for x in met if not x[0]] + go([(hash((k, min(n, o), max(n, o))) >> 2, f % (1 << 64)) for n, k, f in large for o in range(1, blocks[k] + 1)], 2 * block)
+    found = [x for x in met if not x[0]] + go([(numbered(hash((k, min(n, o), max(n, o))), k & simhash._SETS), i, f) for n, k, i, f in large for o in range(1, blocks[k] + 1)], 2 * block)
+    met = [(0, int(fps[a]), int(fps[b])) for _, a, b, _ in found]
     nodes = [int(x) for x in fps]
     assert groups_of([(a % (1 << 64), b % (1 << 64)) for _, a, b in met], nodes) == groups_of(want, nodes)
 

@@ -91,7 +91,7 @@ def test_pages(spark):
 
 @pytest.mark.parametrize("block", [1 << 15, 4])
 def test_simhash_groups(unique, none, monkeypatch, block):
-    monkeypatch.setattr(simhash.links, "__defaults__", (simhash.DISTANCE, block))
+    monkeypatch.setattr(simhash.links, "__defaults__", (simhash.DISTANCE, block, 1))
     texts = by_id(unique, "text")
     fp = {k: simhash.fingerprint(t or "") for k, t in texts.items()}
     parent = {k: k for k in fp}
@@ -111,6 +111,22 @@ def test_simhash_groups(unique, none, monkeypatch, block):
     assert simhash.groups(none).count() == 0
 
 
+def test_wide_fingerprints_link_by_similarity(spark):
+    r = random.Random(8)
+    data, near = [], {}
+    for k in range(0, 120, 2):
+        w = ["".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(300)]
+        v = list(w)
+        for at in r.sample(range(300), r.choice([1, 2, 12, 60])):
+            v[at] = "new"
+        data += [(k, " ".join(w)), (k + 1, " ".join(v))]
+        x, y = ({tuple(z[i : i + 5]) for i in range(296)} for z in (w, v))
+        near[k] = len(x & y) / len(x | y)
+    got = {x.doc_id: x.component_id for x in simhash.groups(spark.createDataFrame(data, "doc_id long, text string"), shingle=5, distance=5, blocks=8, similarity=0.8).collect()}
+    assert all(got[k] == k for k in near)
+    assert all(got[k + 1] == k for k, s in near.items() if s > 0.9) and all(got[k + 1] == k + 1 for k, s in near.items() if s < 0.65)
+
+
 def test_simhash_keeps_null_and_repeated_ids(docs):
     got = simhash.groups(docs).collect()
     assert len(got) == docs.count() and sum(r.doc_id == 3 for r in got) == 2

@@ -5,13 +5,19 @@ at least five. The index is keyed by four positions and their bytes: fourteen se
 form a Steiner system, in which any three positions lie together in just one set, and the complement
 of a set is a set. So each pair of at most three differing bytes meets under a key. Met pairs are
 tallied by bytes shared, those under the guaranteed minimum are dropped, the others are verified by
-differing bits. Inside a key only a spanning forest of the links is kept, which has the same groups.
+differing bits. Under a key with many fingerprints only a spanning forest of the links is kept, which
+has the same groups; a link met under several keys is kept under the first.
+
+Fingerprints can have several blocks of 64 bits, made from hashes drawn anew. Then texts are linked
+that are within the distance in one block and differ, in all blocks together, in no more bits than
+texts of a given similarity do.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import acos, pi, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +37,18 @@ BLOCK = 1 << 15
 FEW = 32
 
 
-def fingerprint(text: str, shingle: int = SHINGLE) -> int:
-    """Bit i is set if it is set in over half of the shingles' hashes; 0 for a text without words."""
+_GOLDEN, _MIX_A, _MIX_B = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))  # public constants of a 64-bit mixer
+
+
+def fingerprints(text: str, shingle: int = SHINGLE, blocks: int = 1) -> np.ndarray:
+    """Bit i of a block is set if it is set in over half of the shingles' hashes; zeros for a text without words.
+
+    The first block's hashes are XXH64; those of others are mixed from them.
+    """
+    out = np.zeros(blocks, "<u8")
     words = text.encode().lower().split()  # of bytes: only A-Z change, only blanks and \t to \r separate
     if not words:
-        return 0
+        return out
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     n = max(1, len(words) - shingle + 1)
@@ -43,23 +56,36 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     stops = (ends[-n:] - 1).tolist()
     digest = xxhash.xxh64_intdigest
     hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(starts, stops)], "<u8")
-    ones = np.zeros(64, np.int64)
-    for at in range(0, n, 1 << 16):
-        ones += np.unpackbits(hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
+    for j in range(blocks):
+        h = hashes
+        if j:
+            h = h + _GOLDEN * np.uint64(j)
+            h = (h ^ h >> np.uint64(30)) * _MIX_A
+            h = (h ^ h >> np.uint64(27)) * _MIX_B
+            h ^= h >> np.uint64(31)
+        ones = np.zeros(64, np.int64)
+        for at in range(0, n, 1 << 16):
+            ones += np.unpackbits(h[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        out[j] = np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0]
+    return out
 
 
-def with_fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """id and fp (the 64 bits as a signed long) of every row; a null text has no words."""
+def fingerprint(text: str, shingle: int = SHINGLE) -> int:
+    return int(fingerprints(text, shingle)[0])
+
+
+def with_fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, blocks: int = 1) -> DataFrame:
+    """id, fps (blocks of 64 bits as signed longs) and fp (the one block, or a hash of all) of every row; a null text has no words."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["id", "fp"])
+            found = [fingerprints(t, shingle, blocks).view(np.int64).tolist() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["id", "fps"])
 
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fp long")
+    marked = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fps array<long>")
+    return marked.withColumn("fp", F.get("fps", 0) if blocks == 1 else F.xxhash64("fps"))
 
 
 def position_sets(distance: int) -> list[tuple[int, ...]]:
@@ -79,36 +105,59 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def forest(fps: np.ndarray, distance: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Links that connect what is within the distance, directly or by others of these fingerprints."""
-    out, rest = [], fps
+def _shared(differ: np.ndarray) -> np.ndarray:
+    """Of each difference the set of its zero bytes, as bits."""
+    return np.packbits(differ.view(np.uint8).reshape(-1, 8) == 0, axis=1, bitorder="little").reshape(-1)
+
+
+def _close(differ: np.ndarray, distance: int) -> np.ndarray:
+    """Which of these differences share enough bytes, and then differ in few enough bits."""
+    near = np.bitwise_count(_shared(differ)) >= 8 - distance
+    near[near] = np.bitwise_count(differ[near]) <= distance
+    return near
+
+
+def _first_sets(distance: int) -> np.ndarray:
+    """Of each set of shared bytes the number of the first set of positions inside it."""
+    sets = [sum(1 << p for p in s) for s in position_sets(distance)]
+    return np.array([next((n for n, m in enumerate(sets) if m & x == m), 255) for x in range(256)])
+
+
+def forest(values: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of places whose links connect what is within the distance, directly or by others of these values."""
+    a, b, rest = [], [], np.arange(len(values))
     while len(rest) > 1:
-        queue, rest = [rest[0]], rest[1:]
+        queue, rest = [int(rest[0])], rest[1:]
         while queue and len(rest):
             x = queue.pop()
-            near = _close(rest ^ x, distance)
+            near = _close(values[rest] ^ values[x], distance)
             if near.any():
                 found = rest[near]
-                out.append((np.full(len(found), x), found))
-                queue.extend(found)
+                a.append(np.full(len(found), x))
+                b.append(found)
+                queue.extend(found.tolist())
                 rest = rest[~near]
-    return out
+    return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, int), np.zeros(0, int))
 
 
-def _close(differ: np.ndarray, distance: int) -> np.ndarray:
-    """Which of these differences share enough bytes, and then differ in few enough bits."""
-    near = (differ.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1) >= 8 - distance
-    near[near] = np.bitwise_count(differ[near]) <= distance
-    return near
+#: The low bits of a key number its set of positions.
+_SETS = 31
 
 
 def _links(distance: int, block: int):
-    """Over rows (k, fp) sorted by k: links (0, a, b), and of a key with over ``block`` rows its rows (block number + 1, k, fp)."""
+    """Over rows (k, node, value) sorted by k: links (0, a, b, 0), and of a key with over ``block`` rows its rows (block number + 1, k, node, value)."""
+    first = _first_sets(distance)
 
-    def rows(kind, a, b) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.asarray(kind, np.int64)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["kind", "a", "b"])
+    def rows(kind, a, b, c) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.asarray(kind, np.int64)), pa.array(a), pa.array(b), pa.array(c.view(np.int64))], ["kind", "a", "b", "c"])
 
-    def few(keys: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def found(key: np.ndarray, nodes: np.ndarray, values: np.ndarray, x: np.ndarray, y: np.ndarray) -> Iterator[pa.RecordBatch]:
+        here = first[_shared(values[x] ^ values[y])] == (key & _SETS)
+        if here.any():
+            zero = np.zeros(int(here.sum()), np.int64)
+            yield rows(zero, nodes[x[here]], nodes[y[here]], zero)
+
+    def few(keys: np.ndarray, nodes: np.ndarray, values: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Keys with at most FEW rows: each row with the next of its key, the one after, and so on."""
         at = np.arange(len(keys))
         for lag in range(1, FEW):
@@ -116,24 +165,28 @@ def _links(distance: int, block: int):
             at = at[keys[at] == keys[at + lag]]
             if not len(at):
                 return
-            near = at[_close(fps[at] ^ fps[at + lag], distance)]
-            if len(near):
-                yield rows(np.zeros(len(near)), fps[near], fps[near + lag])
+            near = at[_close(values[at] ^ values[at + lag], distance)]
+            yield from found(keys[near], nodes, values, near, near + lag)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         key, count = None, 0
 
-        def members(fps: np.ndarray, first: int) -> pa.RecordBatch:
-            return rows((np.arange(len(fps)) + first) // block + 1, np.full(len(fps), key, np.int64), fps)
+        def members(nodes: np.ndarray, values: np.ndarray, start: int) -> pa.RecordBatch:
+            return rows((np.arange(len(nodes)) + start) // block + 1, np.full(len(nodes), key, np.int64), nodes, values)
+
+        def whole() -> tuple[np.ndarray, np.ndarray]:
+            return np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held])
 
         def close() -> Iterator[pa.RecordBatch]:
             if 1 < count <= block:
-                for a, b in forest(np.concatenate(held), distance):
-                    yield rows(np.zeros(len(a)), a, b)
+                nodes, values = whole()
+                x, y = forest(values, distance)
+                yield from found(np.full(len(x), key), nodes, values, x, y)
 
         for batch in batches:
-            keys, fps = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
+            keys, nodes, values = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            values = values.view(np.uint64)
             if not len(keys):
                 continue
             cuts = np.r_[0, np.flatnonzero(keys[1:] != keys[:-1]) + 1, len(keys)]
@@ -142,50 +195,75 @@ def _links(distance: int, block: int):
             small = sizes <= FEW
             small[0] = small[-1] = False
             inside = np.repeat(small, sizes)
-            yield from few(keys[inside], fps[inside])
+            yield from few(keys[inside], nodes[inside], values[inside])
             for a, b in zip(cuts[:-1][~small].tolist(), cuts[1:][~small].tolist()):
                 if keys[a] != key:
                     yield from close()
                     held, key, count = [], int(keys[a]), 0
                 before, count = count, count + b - a
                 if count <= block:
-                    held.append(fps[a:b])
+                    held.append((nodes[a:b], values[a:b]))
                 else:
                     if held:
-                        yield members(np.concatenate(held), 0)
+                        yield members(*whole(), 0)
                         held = []
-                    yield members(fps[a:b], before)
+                    yield members(nodes[a:b], values[a:b], before)
         yield from close()
 
     return run
 
 
-def links(fps: DataFrame, distance: int = DISTANCE, block: int = BLOCK) -> DataFrame:
-    """Links (a, b) between distinct fingerprints ``fp`` that make the same groups as all links within the distance."""
+def _numbered(key: Column, n: Column) -> Column:
+    return key.bitwiseAND(F.lit(~_SETS)).bitwiseOR(n.cast("long"))
+
+
+def links(classes: DataFrame, distance: int = DISTANCE, block: int = BLOCK, blocks: int = 1) -> DataFrame:
+    """Links (a, b) between the fp of rows (fp, fps) that make the same groups as all pairs within the distance in some block."""
     masks = [sum(0xFF << 8 * p for p in s) for s in position_sets(distance)]
-    keys = F.array(*[F.xxhash64(F.lit(n), F.col("fp").bitwiseAND(F.lit(_signed(m)))) for n, m in enumerate(masks)])
-    postings = fps.select(F.explode(keys).alias("k"), "fp").repartition("k").sortWithinPartitions("k")
-    met = materialize(postings.mapInArrow(_links(distance, block), "kind long, a long, b long"))
+    postings = [
+        F.struct(_numbered(F.xxhash64(F.lit(j), F.lit(n), F.get("fps", j).bitwiseAND(F.lit(_signed(m)))), F.lit(n)).alias("k"), F.get("fps", j).alias("value"))
+        for j in range(blocks) for n, m in enumerate(masks)
+    ]
+    schema = "kind long, a long, b long, c long"
+    dealt = lambda d: d.repartition("k").sortWithinPartitions("k")
+    postings = classes.select(F.explode(F.array(*postings)).alias("p"), "fp").select("p.k", F.col("fp").alias("node"), "p.value")
+    met = materialize(dealt(postings).mapInArrow(_links(distance, block), schema))
     found = met.where("kind = 0").select("a", "b")
-    large = met.where("kind > 0").select(F.col("a").alias("k"), F.col("b").alias("fp"), (F.col("kind") - 1).alias("mine"))
+    large = met.where("kind > 0").select(F.col("a").alias("k"), F.col("b").alias("node"), F.col("c").alias("value"), (F.col("kind") - 1).alias("mine"))
     if large.isEmpty():
         return found
     # Every two rows of such a key meet in the pair of their blocks.
-    blocks = large.groupBy("k").agg((F.max("mine") + 1).alias("n"))
-    dealt = large.join(blocks, "k").select("k", "fp", "mine", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("other"))
-    pairs = dealt.select(F.xxhash64("k", F.least("mine", "other"), F.greatest("mine", "other")).alias("k"), "fp")
-    return found.unionByName(pairs.repartition("k").sortWithinPartitions("k").mapInArrow(_links(distance, 2 * block), "kind long, a long, b long").select("a", "b"))
+    counts = large.groupBy("k").agg((F.max("mine") + 1).alias("n"))
+    pairs = large.join(counts, "k").select("k", "node", "value", "mine", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("other"))
+    key = _numbered(F.xxhash64("k", F.least("mine", "other"), F.greatest("mine", "other")), F.col("k").bitwiseAND(F.lit(_SETS)))
+    return found.unionByName(dealt(pairs.select(key.alias("k"), "node", "value")).mapInArrow(_links(distance, 2 * block), schema).select("a", "b"))
+
+
+def bits_at(similarity: float, bits: int) -> int:
+    """Differing bits of texts whose sets of shingles have this similarity: the mean and half a standard deviation."""
+    p = acos(2 * similarity / (1 + similarity)) / pi
+    return int(bits * p + sqrt(bits * p * (1 - p)) / 2)
+
+
+def similar(pairs: DataFrame, classes: DataFrame, similarity: float, blocks: int) -> DataFrame:
+    """Those of the pairs that differ, in all blocks, in no more bits than texts of this similarity."""
+    differ = sum((F.bit_count(F.get("x", j).bitwiseXOR(F.get("y", j))) for j in range(blocks)), F.lit(0))
+    x, y = classes.select(F.col("fp").alias("a"), F.col("fps").alias("x")), classes.select(F.col("fp").alias("b"), F.col("fps").alias("y"))
+    return pairs.distinct().join(x, "a").join(y, "b").where(differ <= bits_at(similarity, 64 * blocks)).select("a", "b")
 
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE, blocks: int = 1, similarity: float | None = None) -> DataFrame:
     """One row per document: id, fp, component_id (the least id of its group, itself included).
 
     Texts without words have the fingerprint 0 and are linked like any other. Copies share a
     fingerprint and enter the search once. A null id is no component's name unless it has no other.
     """
-    marked = materialize(with_fingerprint(docs, id_col, text_col, shingle))
-    classes = materialize(marked.groupBy("fp").agg(F.min("id").alias("least")))
-    roots = components(links(classes.select("fp"), distance))
+    marked = materialize(with_fingerprint(docs, id_col, text_col, shingle, blocks))
+    classes = materialize(marked.groupBy("fp").agg(F.min("id").alias("least"), F.first("fps").alias("fps")))
+    met = links(classes.select("fp", "fps"), distance, blocks=blocks)
+    if similarity is not None:
+        met = similar(met, classes, similarity, blocks)
+    roots = components(met)
     rooted = classes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     found = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")
