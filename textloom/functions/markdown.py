@@ -277,3 +277,28 @@ def restore_heading(source: Column, out: Column) -> Column:
     body_ = F.regexp_replace(out, r"\A\s*[^\n]*(\n|\z)", "")
     reworded = F.when(body_ != "", F.concat(head, F.lit("\n"), body_)).otherwise(head)
     return F.when((marks(head) == "") | (first == head), out).when(marks(first) == marks(head), reworded).otherwise(F.concat(head, F.lit("\n\n"), out))
+
+
+#: Characters from which an article is also asked about as a whole; of each section, and of the infobox.
+SKELETON_MIN_CHARS, SKELETON_SECTION_CHARS, BOX_CHARS = 20_000, 260, 2000
+
+
+def plan_chunks(box: str | Column, text: str | Column, limit: int = CHUNK_CHARS, box_limit: int = BOX_CHARS) -> Column:
+    """Passages to ask about; the infobox, cut, goes with the first."""
+    found, head = chunks(text, limit), F.regexp_replace(F.left(col(box), F.lit(box_limit)), r"\s+\z", "")
+    led = F.concat(F.array(F.concat(head, F.lit("\n\n"), F.get(found, 0))), F.slice(found, F.lit(2), F.greatest(F.size(found) - 1, F.lit(0))))
+    return F.when((F.size(found) > 0) & (col(box) != ""), led).otherwise(found)
+
+
+def skeleton(box: str | Column, text: str | Column, least: int = SKELETON_MIN_CHARS, limit: int = CHUNK_CHARS, part: int = SKELETON_SECTION_CHARS) -> Column:
+    """Of a long article its lead and each heading with its opening; null for others."""
+    ends = lambda c: F.regexp_replace(c, r"\s+\z", "")
+
+    def opening(s: Column) -> Column:
+        head = F.substring_index(s, "\n", 1)
+        rest = ends(F.left(strip(F.substring(s, F.char_length(head) + 2, F.char_length(s))), F.lit(part)))
+        return F.when(~F.startswith(head, F.lit("## ")), ends(F.left(s, F.lit(3 * part)))).when(rest != "", F.concat(head, F.lit("\n\n"), rest)).otherwise(head)
+
+    sections = F.filter(F.transform(F.split(col(text), r"\n(?=## )", -1), strip), lambda s: s != "")
+    whole = F.array_join(F.filter(F.concat(F.array(ends(F.left(col(box), F.lit(BOX_CHARS)))), F.transform(sections, opening)), lambda s: s != ""), "\n\n")
+    return F.when((F.char_length(text) >= least) & (F.char_length(whole) > 20), F.left(whole, F.lit(limit)))

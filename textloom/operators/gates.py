@@ -309,3 +309,9 @@ def parse_questions(text: str | Column, types: tuple[str, ...] = QUESTION_TYPES)
 
 def any_of(tests: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, tests)
+
+
+def best_batch(attempts: DataFrame, doc: str, attempt: str, kept: str, asked: str, least: float = 0.4) -> DataFrame:
+    """Of each article the first attempt that kept enough of what it was asked for, else the one that kept most."""
+    enough = F.min(F.when(F.col(kept) >= least * F.col(asked), F.col(attempt)))
+    return attempts.groupBy(doc).agg(F.coalesce(enough, F.max_by(attempt, F.struct(F.col(kept), -F.col(attempt)))).alias(attempt))

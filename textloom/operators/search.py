@@ -94,3 +94,25 @@ def read_article(articles: DataFrame, name: str, title: str, text: str, ties: st
     near = search_titles(articles, name, title, ties, NEAR_NAMES).select(F.lit("near").alias("kind"), F.col(title).alias("title"), F.lit(None).cast("string").alias("text"))
     none = exact.groupBy().count().where("count = 0")
     return found.unionByName(near.join(F.broadcast(none), how="left_semi", on=F.lit(True)))
+
+
+# Index ------------------------------------------------------------------------------------------
+
+
+def fingerprint_of(docs: DataFrame, ties: str, text: str = "text") -> str:
+    """Changes when a row does: an index with another stamp is stale."""
+    row = docs.agg(F.count("*").alias("n"), F.sum(F.xxhash64(ties, text).cast("decimal(38,0)")).alias("s")).first()
+    return f"{row.n}-{row.s}"
+
+
+def build_index(docs: DataFrame, path: str, ties: str, key: str | Column, text: str = "text", rebuild: bool = False) -> DataFrame:
+    """(ties, key, text, folded): the folded text is written once and read again while the stamp fits."""
+    spark, stamp = docs.sparkSession, fingerprint_of(docs, ties, text)
+    try:
+        fresh = not rebuild and spark.read.text(f"{path}/stamp").first()[0] == stamp
+    except Exception:
+        fresh = False
+    if not fresh:
+        docs.select(ties, normalize_title(key).alias("key"), text, ascii_lower(text).alias("folded")).write.mode("overwrite").parquet(f"{path}/index")
+        spark.createDataFrame([(stamp,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/stamp")  # last
+    return spark.read.parquet(f"{path}/index")

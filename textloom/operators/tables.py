@@ -199,3 +199,31 @@ def rate_between(snapshots: DataFrame, at: str, n: str) -> DataFrame:
     w = Window.orderBy(at)
     seconds = F.col(at).cast("timestamp").cast("double") - F.lag(F.col(at).cast("timestamp").cast("double")).over(w)
     return snapshots.withColumn("rate", (F.col(n) - F.lag(n).over(w)) / seconds)
+
+
+def tallies(rows: DataFrame, *by: str) -> DataFrame:
+    """Counts by status, tag or view."""
+    return rows.groupBy(*by).agg(F.count("*").alias("n"))
+
+
+def written_per_view(views: DataFrame, outputs: DataFrame, view: str = "view") -> DataFrame:
+    """Every configured view with the number of documents written for it."""
+    return views.join(tallies(outputs, view), view, "left").withColumn("n", F.coalesce("n", F.lit(0)))
+
+
+def coverage(questions: DataFrame, articles: DataFrame, answers: DataFrame, source: str = "source", q: str = "q") -> DataFrame:
+    """One row: records, articles with a question in percent, questions with an answer in percent."""
+    done = answered(questions, answers, q).agg(F.count("*").alias("records"), F.countDistinct(source).alias("sources"), F.round(100 * F.avg(F.col("answered").cast("int")), 4).alias("answered"))
+    return done.join(articles.agg(F.countDistinct(source).alias("articles")), how="inner", on=F.lit(True)).withColumn("covered", F.round(100 * F.col("sources") / F.col("articles"), 4))
+
+
+def observed(rows: DataFrame, name: str, **metrics: Column):
+    """(rows, observation): run counters that a retried task does not count twice."""
+    from pyspark.sql import Observation
+
+    seen = Observation(name)
+    return rows.observe(seen, *[m.alias(k) for k, m in metrics.items()]), seen
+
+
+def unknown_names(wanted: list[str], known: list[str]) -> list[str]:
+    return sorted(set(wanted) - set(known))
