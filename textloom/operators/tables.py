@@ -79,22 +79,20 @@ def evidence_pairs(items: DataFrame, passages: DataFrame, item: str, span: str,
 
 
 def owner_of(offsets: DataFrame, starts: DataFrame, at: str = "at", start: str = "start") -> DataFrame:
-    """Each offset with the row of the greatest start at or before it (an as-of join without a shuffle of pairs).
+    """Each offset with the row of the greatest start at or before it (an as-of join); offsets before all starts go.
 
-    Both tables are laid in one line and cut into equal ranges; a start that reaches past its range is carried over.
+    Both tables are laid in one line and cut into equal ranges, searched on their own; each range is
+    handed the last start of those before it, one row a range.
     """
     line = offsets.select(F.col(at).alias("_x"), F.lit(1).alias("_kind"), F.struct(*offsets.columns).alias("_row"), F.lit(None).cast(starts.schema.simpleString()).alias("_own"))
     line = line.unionByName(starts.select(F.col(start).alias("_x"), F.lit(0).alias("_kind"), F.lit(None).cast(offsets.schema.simpleString()).alias("_row"), F.struct(*starts.columns).alias("_own")))
-    width = F.lit(1 << 20)
-    ranged = line.withColumn("_range", F.floor(F.col("_x") / width))
-    last = ranged.where("_kind = 0").groupBy("_range").agg(F.max_by("_own", "_x").alias("_own"))
-    carried = last.select("_range", F.lag("_own").over(Window.orderBy("_range")).alias("_before"), "_own")
+    ranged = line.withColumn("_range", F.floor(F.col("_x") / F.lit(1 << 20)))
+    last = ranged.groupBy("_range").agg(F.max_by("_own", F.when(F.col("_kind") == 0, F.col("_x"))).alias("_last"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.select("_range", F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
     inside = Window.partitionBy("_range").orderBy("_x", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = ranged.withColumn("_own", F.last("_own", ignorenulls=True).over(inside)).where("_kind = 1")
-    before = carried.select(F.col("_range"), F.lead("_range").over(Window.orderBy("_range")).alias("_until"), F.col("_own").alias("_last"))
-    hit = placed.where("_own is not null")
-    missed = placed.where("_own is null").drop("_own").join(before.select(F.col("_range").alias("_from"), "_until", "_last"), (F.col("_range") > F.col("_from")) & (F.col("_until").isNull() | (F.col("_range") <= F.col("_until"))))
-    return hit.select("_row.*", "_own.*").unionByName(missed.select("_row.*", "_last.*"))
+    placed = ranged.withColumn("_here", F.last("_own", ignorenulls=True).over(inside)).where("_kind = 1").join(carried, "_range")
+    return placed.withColumn("_owner", F.coalesce("_here", "_carried")).where("_owner is not null").select("_row.*", "_owner.*")
 
 
 # Duplicates -------------------------------------------------------------------------------------
