@@ -37,7 +37,7 @@ BLOCK = 1 << 15
 FEW = 32
 
 
-_GOLDEN, _MIX_A, _MIX_B = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))  # public constants of a 64-bit mixer
+_GOLDEN, _MIX_A, _MIX_B = 0x9E3779B97F4A7C15, np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)  # public constants of a 64-bit mixer
 
 
 def fingerprints(text: str, shingle: int = SHINGLE, blocks: int = 1) -> np.ndarray:
@@ -59,7 +59,7 @@ def fingerprints(text: str, shingle: int = SHINGLE, blocks: int = 1) -> np.ndarr
     for j in range(blocks):
         h = hashes
         if j:
-            h = h + _GOLDEN * np.uint64(j)
+            h = h + np.uint64(_GOLDEN * j % (1 << 64))
             h = (h ^ h >> np.uint64(30)) * _MIX_A
             h = (h ^ h >> np.uint64(27)) * _MIX_B
             h ^= h >> np.uint64(31)
