@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm._common import materialize, small_batches, text_or_empty
+from textloom.llm._common import large_batches, materialize, small_batches, text_or_empty
 from textloom.llm.graph import components
 
 SEED = 42
@@ -227,7 +227,8 @@ def links(classes: DataFrame, distance: int = DISTANCE, block: int = BLOCK, bloc
     schema = "kind long, a long, b long, c long"
     dealt = lambda d: d.repartition("k").sortWithinPartitions("k")
     postings = classes.select(F.explode(F.array(*postings)).alias("p"), "fp").select("p.k", F.col("fp").alias("node"), "p.value")
-    met = materialize(dealt(postings).mapInArrow(_links(distance, block), schema))
+    with large_batches(classes.sparkSession):
+        met = materialize(dealt(postings).mapInArrow(_links(distance, block), schema))
     found = met.where("kind = 0").select("a", "b")
     large = met.where("kind > 0").select(F.col("a").alias("k"), F.col("b").alias("node"), F.col("c").alias("value"), (F.col("kind") - 1).alias("mine"))
     if large.isEmpty():
