@@ -127,6 +127,30 @@ def test_wide_fingerprints_link_by_similarity(spark):
     assert all(got[k + 1] == k for k, s in near.items() if s > 0.9) and all(got[k + 1] == k + 1 for k, s in near.items() if s < 0.65)
 
 
+@pytest.mark.parametrize("most", [4096, 64])
+def test_similar_pairs_of_one_key_are_those_of_all_pairs(spark, monkeypatch, most):
+    """A family of pages: close in one block, to many of which they are not similar in all blocks."""
+    r = np.random.default_rng(5)
+    flip = lambda x, n: x ^ np.bitwise_or.reduce(np.uint64(1) << r.choice(64, n, False).astype(np.uint64))
+    seeds = [r.integers(0, 1 << 63, 8, np.uint64) for _ in range(20)]
+    head = r.integers(0, 1 << 63, 1, np.uint64)[0]
+    fps = np.array([[flip(head, r.integers(0, 5)), *(flip(x, r.integers(4, 10)) for x in seeds[k % 20][1:])] for k in range(400)], np.uint64)
+    limit = simhash.bits_at(0.8, 512)
+    differ = np.bitwise_count(fps[:, None] ^ fps[None])
+    linked = (differ <= 5).any(axis=2) & (differ.sum(axis=2, dtype=int) <= limit)
+    root = list(range(400))
+    for a, b in zip(*np.nonzero(linked)):
+        x, y = root[a], root[b]
+        root = [min(x, y) if z in (x, y) else z for z in root]
+    assert 5 < len(set(root)) < 300
+    data = [(k, str(k)) for k in range(400)]
+    monkeypatch.setattr("textloom.llm.graph.MOST", most, raising=False)
+    marked = spark.createDataFrame([(k, fps[k].view(np.int64).tolist(), int(k)) for k in range(400)], "id long, fps array<long>, fp long")
+    monkeypatch.setattr(simhash, "with_fingerprint", lambda *_: marked)
+    got = {x.doc_id: x.component_id for x in simhash.groups(spark.createDataFrame(data, "doc_id long, text string"), distance=5, blocks=8, similarity=0.8).collect()}
+    assert [got[k] for k in range(400)] == root
+
+
 def test_simhash_keeps_null_and_repeated_ids(docs):
     got = simhash.groups(docs).collect()
     assert len(got) == docs.count() and sum(r.doc_id == 3 for r in got) == 2

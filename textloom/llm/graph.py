@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm._common import materialize
 
+#: Nodes, and bytes of their values, of one root that a task compares at once; more are dealt to pairs of blocks.
+MOST, MOST_BYTES = 1 << 12, 1 << 23
+
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of the links (a, b); nodes of one component have one root.
@@ -35,3 +41,39 @@ def components(edges: DataFrame) -> DataFrame:
         return found.join(step.select(F.col("node").alias("root"), F.col("took").alias("_next")), "root", "left").select("node", F.coalesce("_next", "root").alias("root"))
 
     return materialize(reduce(follow, taken[1:], taken[0].select("node", F.col("took").alias("root"))))
+
+
+def within(members: DataFrame, prepare: Callable[[pa.Array], list], search: Callable[[list], tuple[np.ndarray, np.ndarray]], most: int | None = None) -> DataFrame:
+    """Links (a, b) that ``search`` finds among the prepared values of each root's nodes; members are rows (root, node, value, size).
+
+    Every two nodes of a root are given to one call, so search may return only what connects the same nodes.
+    """
+    most = most or MOST
+    counts = members.groupBy("root").agg(F.count("*").alias("rows"), F.sum("size").alias("bytes")).where("rows > 1")
+    n = F.ceil(F.greatest(F.col("rows") / most, F.col("bytes") / MOST_BYTES)).cast("long")
+    mine = members.join(counts.select("root", n.alias("n")), "root").withColumn("mine", F.pmod(F.xxhash64("node", F.lit("block")), "n"))
+    others = F.when(F.col("n") == 1, F.array("mine")).otherwise(F.filter(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda x: x != F.col("mine")))
+    met = mine.withColumn("other", F.explode(others)).select(F.xxhash64("root", F.least("mine", "other"), F.greatest("mine", "other")).alias("k"), "node", "value")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, nodes, values = None, [], []
+
+        def close() -> Iterator[pa.RecordBatch]:
+            if len(nodes) > 1:
+                x, y = search(values)
+                at = np.array(nodes, np.int64)
+                if len(x):
+                    yield pa.RecordBatch.from_arrays([pa.array(at[x]), pa.array(at[y])], ["a", "b"])
+
+        for batch in batches:
+            for k, node, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), prepare(batch.column(2))):
+                if k != key:
+                    yield from close()
+                    key, nodes, values = k, [], []
+                nodes.append(node)
+                values.append(value)
+        yield from close()
+
+    # A given number of partitions: few bytes may take long to compare, so they are not put together by size.
+    dealt = met.repartition(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), "k").sortWithinPartitions("k")
+    return dealt.mapInArrow(run, "a long, b long")

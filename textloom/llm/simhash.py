@@ -10,12 +10,13 @@ has the same groups; a link met under several keys is kept under the first.
 
 Fingerprints can have several blocks of 64 bits, made from hashes drawn anew. Then texts are linked
 that are within the distance in one block and differ, in all blocks together, in no more bits than
-texts of a given similarity do.
+texts of a given similarity do. A forest of the first kind of links is not one of the second, so all
+pairs of what it connects are compared again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 from math import acos, pi, sqrt
 
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm._common import large_batches, materialize, small_batches, text_or_empty
-from textloom.llm.graph import components
+from textloom.llm.graph import components, within
 
 SEED = 42
 SHINGLE = 3
@@ -125,12 +126,17 @@ def _first_sets(distance: int) -> np.ndarray:
 
 def forest(values: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of places whose links connect what is within the distance, directly or by others of these values."""
+    return spanning(values, lambda differ: _close(differ, distance))
+
+
+def spanning(values: np.ndarray, near_by: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of places whose links connect what ``near_by`` accepts by its difference, directly or by others of these values."""
     a, b, rest = [], [], np.arange(len(values))
     while len(rest) > 1:
         queue, rest = [int(rest[0])], rest[1:]
         while queue and len(rest):
             x = queue.pop()
-            near = _close(values[rest] ^ values[x], distance)
+            near = near_by(values[rest] ^ values[x])
             if near.any():
                 found = rest[near]
                 a.append(np.full(len(found), x))
@@ -246,11 +252,18 @@ def bits_at(similarity: float, bits: int) -> int:
     return int(bits * p + sqrt(bits * p * (1 - p)) / 2)
 
 
-def similar(pairs: DataFrame, classes: DataFrame, similarity: float, blocks: int) -> DataFrame:
-    """Those of the pairs that differ, in all blocks, in no more bits than texts of this similarity."""
-    differ = sum((F.bit_count(F.get("x", j).bitwiseXOR(F.get("y", j))) for j in range(blocks)), F.lit(0))
-    x, y = classes.select(F.col("fp").alias("a"), F.col("fps").alias("x")), classes.select(F.col("fp").alias("b"), F.col("fps").alias("y"))
-    return pairs.distinct().join(x, "a").join(y, "b").where(differ <= bits_at(similarity, 64 * blocks)).select("a", "b")
+def similar(roots: DataFrame, classes: DataFrame, distance: int, similarity: float, blocks: int, most: int | None = None) -> DataFrame:
+    """Links between the fp of one root that are within the distance in a block and differ, in all blocks, in no more bits than texts of this similarity.
+
+    A root's links need not be known: all its pairs are compared, so no pair depends on a third that is not similar.
+    """
+    limit = bits_at(similarity, 64 * blocks)
+
+    def search(values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return spanning(np.stack(values), lambda differ: (np.bitwise_count(differ).sum(axis=1, dtype=np.int64) <= limit) & (np.bitwise_count(differ) <= distance).any(axis=1))
+
+    members = classes.join(roots.select(F.col("node").alias("fp"), "root"), "fp").select("root", F.col("fp").alias("node"), F.col("fps").alias("value"), F.lit(8 * blocks).alias("size"))
+    return within(members, lambda column: [np.array(x, np.int64).view(np.uint64) for x in column.to_pylist()], search, most)
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE, blocks: int = 1, similarity: float | None = None) -> DataFrame:
@@ -262,9 +275,9 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
     marked = materialize(with_fingerprint(docs, id_col, text_col, shingle, blocks))
     classes = materialize(marked.groupBy("fp").agg(F.min("id").alias("least"), F.first("fps").alias("fps")))
     met = links(classes.select("fp", "fps"), distance, blocks=blocks)
-    if similarity is not None:
-        met = similar(met, classes, similarity, blocks)
     roots = components(met)
+    if similarity is not None:
+        roots = components(similar(roots, classes, distance, similarity, blocks))
     rooted = classes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     found = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")
