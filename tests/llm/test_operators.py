@@ -273,6 +273,35 @@ def test_shards(docs, none):
     assert sharding.shard_documents(none).count() == 0
 
 
+def of_words(spark, texts, ids=None):
+    return spark.createDataFrame([(k, t, "en", "s", len(t), "i", "f", "d", "p", "r") for k, t in zip(ids or range(len(texts)), texts)], SCHEMA)
+
+
+@pytest.mark.parametrize("most", [4096, 64])
+def test_near_copies_are_those_of_jaccard(spark, monkeypatch, most):
+    """Pairs just over and under the threshold, and pages of one template, unlike enough to stay."""
+    import corpus_pipeline as P
+
+    monkeypatch.setattr("textloom.llm.graph.MOST", most, raising=False)
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    texts = []
+    for changes in [6, 7] * 40:  # of 300 words, five shingles each: 0.82 to 0.78
+        w = [word() for _ in range(300)]
+        v = [word() if at % 40 == 20 and at // 40 < changes else x for at, x in enumerate(w)]
+        texts += [" ".join(w), " ".join(v)]
+    template = [word() for _ in range(200)]
+    texts += [" ".join(word() if 10 <= at < 44 else x for at, x in enumerate(template)) for _ in range(300)]
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    want = list(range(len(texts)))
+    for i in range(len(texts)):
+        if any(5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) for j in range(i)):
+            want.remove(i)
+    assert 300 < len(want) < len(texts) - 30
+    got = P.near_copies(spark, of_words(spark, texts), "")
+    assert sorted(x.doc_id for x in got.collect()) == want
+
+
 def test_pipeline(spark, docs, tmp_path):
     import corpus_pipeline as P
 

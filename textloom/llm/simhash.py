@@ -41,24 +41,32 @@ FEW = 32
 _GOLDEN, _MIX_A, _MIX_B = 0x9E3779B97F4A7C15, np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)  # public constants of a 64-bit mixer
 
 
-def fingerprints(text: str, shingle: int = SHINGLE, blocks: int = 1) -> np.ndarray:
-    """Bit i of a block is set if it is set in over half of the shingles' hashes; zeros for a text without words.
-
-    The first block's hashes are XXH64; those of others are mixed from them.
-    """
-    out = np.zeros(blocks, "<u8")
+def hashes(text: str, shingle: int = SHINGLE) -> np.ndarray:
+    """XXH64 of each run of so many words, of all words if they are fewer; none for a text without words."""
     words = text.encode().lower().split()  # of bytes: only A-Z change, only blanks and \t to \r separate
     if not words:
-        return out
+        return np.zeros(0, "<u8")
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     n = max(1, len(words) - shingle + 1)
     starts = np.r_[0, ends[:-1]][:n].tolist()
     stops = (ends[-n:] - 1).tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(starts, stops)], "<u8")
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(starts, stops)], "<u8")
+
+
+def fingerprints(text: str, shingle: int = SHINGLE, blocks: int = 1) -> np.ndarray:
+    """Bit i of a block is set if it is set in over half of the shingles' hashes; zeros for a text without words.
+
+    The first block's hashes are XXH64; those of others are mixed from them.
+    """
+    out = np.zeros(blocks, "<u8")
+    first = hashes(text, shingle)
+    n = len(first)
+    if not n:
+        return out
     for j in range(blocks):
-        h = hashes
+        h = first
         if j:
             h = h + np.uint64(_GOLDEN * j % (1 << 64))
             h = (h ^ h >> np.uint64(30)) * _MIX_A
