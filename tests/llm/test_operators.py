@@ -302,6 +302,18 @@ def test_near_copies_are_those_of_jaccard(spark, monkeypatch, most):
     assert sorted(x.doc_id for x in got.collect()) == want
 
 
+def test_near_copies_with_null_and_repeated_ids(spark):
+    import corpus_pipeline as P
+
+    r = random.Random(6)
+    a, b, c, d, e = (" ".join("".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(60)) for _ in range(5))
+    data = [(None, a), (None, b), (None, a + " x"), (4, c), (4, d), (4, d), (2, c + " x"), (9, a), (7, e), (8, e), (None, e)]
+    got = P.near_copies(spark, of_words(spark, [t for _, t in data], [k for k, _ in data]).repartition(3), "").collect()
+    got = sorted((x.doc_id or 0, x.text) for x in got)
+    assert len(got) == 5 and [k for k, _ in got] == [0, 0, 0, 2, 4]
+    assert {t.removesuffix(" x") for _, t in got} == {a, b, c, d, e} and (2, c + " x") in got and (4, d) in got
+
+
 def test_pipeline(spark, docs, tmp_path):
     import corpus_pipeline as P
 

@@ -100,28 +100,29 @@ def linked(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.nd
     return order[np.array(a, np.int64)], order[np.array(b, np.int64)]
 
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """One row per document: id and component_id (the least id of its group, itself included); ids are unique.
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order_col: str | None = None, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """One row per document: id and component_id, the id of that row of its group which is the least by (order_col, id), nulls first.
 
-    Texts of one set of shingles are one class, which enters the search once.
+    Rows of one id have one text. Texts of one set of shingles are one class, which enters the search once.
     """
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t, shingle) for t in batch.column(1).to_pylist()]
+            sets = [shingle_set(t, shingle) for t in batch.column(2).to_pylist()]
             names = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names), pa.array([bands(s) for s in sets], pa.list_(pa.int64()))], ["id", "fp", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names), pa.array([bands(s) for s in sets], pa.list_(pa.int64()))], ["id", "place", "fp", "bands"])
 
-    rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    marked = materialize(rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fp long, bands array<long>"))
-    classes = materialize(marked.groupBy("fp").agg(F.min("id").alias("least"), F.first("bands").alias("bands")))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(order_col or id_col).alias("place"), text_or_empty(text_col).alias("text"))
+    types = {c: rows.schema[c].dataType.simpleString() for c in ("id", "place")}
+    marked = materialize(rows.mapInArrow(run, f"id {types['id']}, place {types['place']}, fp long, bands array<long>"))
+    classes = materialize(marked.groupBy("fp").agg(F.min(F.struct("place", "id")).alias("least"), F.first("bands").alias("bands")))
     posted = classes.select("fp", F.explode("bands").alias("k"))
     chained = posted.select("fp", F.lag("fp").over(Window.partitionBy("k").orderBy("fp")).alias("before")).where("before is not null")
     roots = components(chained.select(F.col("before").alias("a"), F.col("fp").alias("b")))
-    chosen = classes.join(roots.select(F.col("node").alias("fp"), "root"), "fp").select("root", "fp", F.col("least").alias("id"))
+    chosen = classes.join(roots.select(F.col("node").alias("fp"), "root"), "fp").select("root", "fp", F.col("least.id").alias("id"))
     texts = rows.join(chosen, "id").select("root", F.col("fp").alias("node"), F.col("text").alias("value"), F.octet_length("text").alias("size")).dropDuplicates(["node"])
     found = components(within(texts, lambda column: [shingle_set(t, shingle) for t in column.to_pylist()], lambda sets: linked(sets, similarity)))
     rooted = classes.join(found.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = rooted.groupBy("root").agg(F.min("least").getField("id").alias("component_id"))
     return marked.select("id", "fp").join(rooted.join(named, "root").select("fp", "component_id"), "fp").select(F.col("id").alias(id_col), "component_id")
