@@ -169,6 +169,15 @@ def normalizers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", T.normalize_title(head).alias("title_key"), T.normalize_match(head).alias("match_key"))
 
 
+_WHOLE_MATCH = _STRIP.format("regexp_replace(lower(replace(replace(text, '*', ''), '_', ' ')), '\\s+', ' ', 'g')")
+
+
+@register(f"select doc_id, md5({_KEY.format('text')}) as title_key, md5({_WHOLE_MATCH}) as match_key from documents")
+def normalizers_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts; as digests, since the keys are as long as the texts."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(T.normalize_title("text")).alias("title_key"), F.md5(T.normalize_match("text")).alias("match_key"))
+
+
 @register("select doc_id, greatest(2, least(12, n_chars // 700))::int as questions from documents")
 def question_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", T.question_count("n_chars").alias("questions"))
