@@ -29,3 +29,10 @@ def test_normalizers_read_whole_texts(spark, tmp_path):
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: (r.title_key, r.match_key) for r in QUERIES["normalizers_whole"](spark, str(tmp_path)).collect()}
     assert got == {k: (md5(f"{'a b ' * 100}{e}"), md5(f"{'a b ' * 100}{e}")) for k, e in enumerate(("one", "two"))}
+
+
+def test_view_eligibility_strips_tables(spark, tmp_path):
+    text = "Lead. " * 30 + "\n\n| a | b |\n|---|---|\n" + "| tion of | x |\n" * 80
+    spark.createDataFrame([(text, "en")], "text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.view: r.reason for r in QUERIES["view_eligibility"](spark, str(tmp_path)).collect()}
+    assert got == {v: "too short for view" for v in ("inuniverse", "timeline", "quiz", "summary")}

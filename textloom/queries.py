@@ -232,8 +232,7 @@ _VIEWS = (
 )
 def view_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("lang", M.strip("text").alias("body"))
-    # Texts of this table hold no tables, so nothing is to be stripped of them.
-    rows = F.explode(F.array(*[F.struct(F.lit(v.name).alias("view"), F.coalesce(G.eligible("body", "lang", v, F.col("body")), F.lit("keep")).alias("reason")) for v in _VIEWS]))
+    rows = F.explode(F.array(*[F.struct(F.lit(v.name).alias("view"), F.coalesce(G.eligible("body", "lang", v), F.lit("keep")).alias("reason")) for v in _VIEWS]))
     return docs.select(rows.alias("r")).groupBy("r.view", "r.reason").agg(F.count("*").alias("n"))
 
 
