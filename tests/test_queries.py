@@ -36,3 +36,12 @@ def test_view_eligibility_strips_tables(spark, tmp_path):
     spark.createDataFrame([(text, "en")], "text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.view: r.reason for r in QUERIES["view_eligibility"](spark, str(tmp_path)).collect()}
     assert got == {v: "too short for view" for v in ("inuniverse", "timeline", "quiz", "summary")}
+
+
+def test_question_gate_looks_for_evidence_in_whole_passages(spark, tmp_path):
+    asked = "where did Captain Moro find the hidden silver lantern of the harbour"
+    answer = "It was found long ago below the old tower by the people of the coast. " * 3 + "Captain Moro found the hidden silver lantern at the harbour."
+    data = [(1, 0, "user", asked), (1, 1, "assistant", answer), (2, 0, "user", asked), (2, 1, "assistant", f"{answer} So {asked} is told.")]
+    spark.createDataFrame(data, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {(r.conv_id, r.evidence): r.reason for r in QUERIES["question_gate"](spark, str(tmp_path)).collect()}
+    assert got == {(1, "answer"): "keep", (1, "asked"): "evidence not in passage", (2, "answer"): "keep", (2, "asked"): "keep"}

@@ -284,9 +284,11 @@ def answer_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(None)
 def question_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each turn as a question about its conversation's first turn."""
-    turns = _answers(spark, sf_dir)
-    return turns.select("conv_id", "turn", F.coalesce(G.question_reason(F.concat("asked", F.lit("?")), F.substring("text", 1, 60), F.lit("the"), "text"), F.lit("keep")).alias("reason"))
+    """Each asked turn as a question, twice: its evidence is the answer, to be found in both turns, or the asked turn, to be found in the answer."""
+    pair = lambda name, evidence, passage: F.struct(F.lit(name).alias("evidence"), evidence.alias("span"), passage.alias("passage"))
+    spans = F.explode(F.array(pair("answer", F.col("text"), F.concat_ws("\n", "asked", "text")), pair("asked", F.col("asked"), F.col("text"))))
+    turns = _answers(spark, sf_dir).withColumn("e", spans).select("conv_id", "turn", "asked", "e.*")
+    return turns.select("conv_id", "turn", "evidence", F.coalesce(G.question_reason(F.concat("asked", F.lit("?")), "span", F.lit("the"), "passage"), F.lit("keep")).alias("reason"))
 
 
 @register(None)
