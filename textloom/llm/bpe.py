@@ -19,11 +19,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm._common import small_batches, text_or_empty
+from textloom.llm._common import pieces, text_or_empty
 from textloom.llm.tokens import byte_alphabet
 
-#: Remembered words in one Python worker; the store is emptied when it is full.
-REMEMBERED = 300_000
+#: Remembered words in one Python worker, and their longest length; the store is emptied when it is full.
+REMEMBERED, LONGEST = 300_000, 64
 _NONE = np.iinfo(np.int32).max
 
 
@@ -137,10 +137,10 @@ class WordBpe:
             known.clear()
         new = list({w for words in parts for w in words if w not in known and not isinstance(w, int)})
         fresh = dict(zip(new, (x.astype(kind).tobytes() for x in self.merge([w.encode() for w in new])))) if new else {}
-        known.update(fresh)
+        known.update((w, x) for w, x in fresh.items() if len(w) <= LONGEST)
         for i in self.special.values():
             known[i] = np.array([i], kind).tobytes()
-        return [np.frombuffer(b"".join([known[w] for w in words]), kind) for words in parts]
+        return [np.frombuffer(b"".join([known[w] if w in known else fresh[w] for w in words]), kind) for words in parts]
 
     def decode(self, ids) -> str:
         """Without a decoder in the file, a text is its tokens with blanks between them."""
@@ -159,11 +159,10 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     stands for itself; other columns are ignored. Encode and decode share one pass over the texts.
     """
     path = path or default_vocabulary()
-    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
-        for batch in batches:
+        for batch in pieces(batches):
             found = bpe.encode(batch.column(1).to_pylist())
             if not digests:
                 columns = [pa.array([x.astype("<u4").tobytes() for x in found], pa.binary()), pa.array([bpe.decode(x.tolist()) for x in found], pa.string())]

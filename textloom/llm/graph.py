@@ -10,10 +10,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm._common import materialize
+from textloom.llm._common import materialize, pieces
 
 #: Nodes, and bytes of their values, of one root that a task compares at once; more are dealt to pairs of blocks.
 MOST, MOST_BYTES = 1 << 12, 1 << 23
+SALTS = 16
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -43,17 +44,20 @@ def components(edges: DataFrame) -> DataFrame:
     return materialize(reduce(follow, taken[1:], taken[0].select("node", F.col("took").alias("root"))))
 
 
-def within(members: DataFrame, prepare: Callable[[pa.Array], list], search: Callable[[list], tuple[np.ndarray, np.ndarray]], most: int | None = None) -> DataFrame:
-    """Links (a, b) that ``search`` finds among the prepared values of each root's nodes; members are rows (root, node, value, size).
+def within(members: DataFrame, values: DataFrame, prepare: Callable[[pa.Array], list], search: Callable[[list], tuple[np.ndarray, np.ndarray]], most: int | None = None) -> DataFrame:
+    """Links (a, b) that ``search`` finds among the prepared values (node, value) of each root's members (root, node, size).
 
     Every two nodes of a root are given to one call, so search may return only what connects the same nodes.
+    A root with many members is a key of SALTS tasks where it meets its number of blocks.
     """
     most = most or MOST
     counts = members.groupBy("root").agg(F.count("*").alias("rows"), F.sum("size").alias("bytes")).where("rows > 1")
     n = F.ceil(F.greatest(F.col("rows") / most, F.col("bytes") / MOST_BYTES)).cast("long")
-    mine = members.join(counts.select("root", n.alias("n")), "root").withColumn("mine", F.pmod(F.xxhash64("node", F.lit("block")), "n"))
+    salted = counts.select("root", n.alias("n"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    mine = members.select("root", "node", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int").alias("salt")).join(salted, ["root", "salt"]).withColumn("mine", F.pmod(F.xxhash64("node", F.lit("block")), "n"))
     others = F.when(F.col("n") == 1, F.array("mine")).otherwise(F.filter(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda x: x != F.col("mine")))
-    met = mine.withColumn("other", F.explode(others)).select(F.xxhash64("root", F.least("mine", "other"), F.greatest("mine", "other")).alias("k"), "node", "value")
+    keyed = mine.withColumn("other", F.explode(others)).select(F.xxhash64("root", F.least("mine", "other"), F.greatest("mine", "other")).alias("k"), "node")
+    met = keyed.join(values, "node").select("k", "node", "value")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, nodes, values = None, [], []
@@ -65,7 +69,7 @@ def within(members: DataFrame, prepare: Callable[[pa.Array], list], search: Call
                 if len(x):
                     yield pa.RecordBatch.from_arrays([pa.array(at[x]), pa.array(at[y])], ["a", "b"])
 
-        for batch in batches:
+        for batch in pieces(batches):
             for k, node, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), prepare(batch.column(2))):
                 if k != key:
                     yield from close()

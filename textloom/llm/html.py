@@ -20,20 +20,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm._common import small_batches
+from textloom.llm._common import pieces
 
 # Element names of HTML.
-_INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img".split())
+_INLINE = frozenset(
+    """a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img
+    object canvas audio video map
+    math semantics mrow mi mn mo ms mtext mspace msup msub msubsup mfrac msqrt mroot munder mover munderover mmultiscripts mtable mtr mtd mstyle mpadded mphantom menclose""".split()
+)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_UNSEEN = frozenset("script style noscript template iframe object svg math title head audio video canvas".split())
-_RAW = frozenset("script style iframe title textarea noscript".split())
+_UNSEEN = frozenset("script style template iframe svg title head annotation annotation-xml".split())
+_RAW = frozenset("script style iframe title textarea".split())
 #: An opening tag ends open ones of these names, up to one of the second set.
 _ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select"}),
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "body": ({"head"}, set()),
 }
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^'">]|"[^"]*"|'[^']*')*+)>|</?[a-zA-Z].*\Z|</[^>]*(?:>|\Z)""", re.S)
-_NAMES = re.compile(r"""(?:^|\s)(class|id|role|data-main)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+# A quotation mark quotes only where a value begins; elsewhere it is a character like any other.
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:"[^"]*"|'[^']*')|[^>])*+)>|</?[a-zA-Z].*\Z|</[^>]*(?:>|\Z)""", re.S)
+_NAMES = re.compile(r"""(?:^|\s)(class|id|role|data-main)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
 
 
@@ -222,7 +227,7 @@ def training_page(seed: int) -> str:
         return other("ad", r.choice(["div", "div", "section", "ins", "p", "aside"]), r.choice([prose(1, 3), f"<p>{prose(1, 2)}</p>", f"<a href='/ad'>{sentence(5)}</a>"]))
 
     def notice() -> str:
-        return other("notice", r.choice(["div", "section", "p"]), f"{prose(1, 2)}<button>{sentence(1)}</button>" if r.random() < 0.7 else f"<p>{prose(1, 3)}</p>")
+        return other("notice", r.choice(["div", "section", "p", "noscript"]), f"{prose(1, 2)}<button>{sentence(1)}</button>" if r.random() < 0.7 else f"<p>{prose(1, 3)}</p>")
 
     def sidebar() -> str:
         return other("sidebar", r.choice(["aside", "div", "section"]), f"<h3>{sentence(2)}</h3>" + r.choice([links(5, 2, 9), f"<p>{prose(1, 3)}</p>", links(3) + f"<p>{prose(1, 2)}</p>"]))
@@ -262,7 +267,7 @@ def training_page(seed: int) -> str:
     inner = [f"<h1>{sentence(r.randint(2, 9))}</h1>"] if r.random() < 0.85 else []
     if inner and r.random() < 0.15:
         inner = [f"<header>{inner[0]}</header>"]
-    inner += [piece() for _ in range(r.randint(1, 14))]
+    inner += [piece() for _ in range(r.choice([1, 1, 2, *range(1, 15)]))]
     for maker, rate in ((advert, 0.3), (share, 0.25), (sidebar, 0.12), (form, 0.1), (notice, 0.1), (menu, 0.05)):
         if r.random() < rate:
             inner.insert(r.randint(0, len(inner)), maker())
@@ -378,12 +383,15 @@ def n_cells(pages: list[list[Block]], longest: int) -> np.ndarray:
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
-    """All columns and _text, the main text (empty if there is none). A null page is empty; no row is dropped."""
-    small_batches(pages.sparkSession)
+    """All columns and _text, the main text (empty if there is none).
+
+    A null page is empty; repeated rows and null keys are rows like others, and no row is dropped; an empty
+    table gives an empty one. Whole pages are read, whatever their length.
+    """
     held = pages.sparkSession.sparkContext.broadcast(trained())  # bounded: one weight for each feature of the training pages
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             *rest, page = batch.columns
             yield pa.RecordBatch.from_arrays([*rest, pa.array([held.value.text(x) for x in page.to_pylist()], pa.string())], [*names, "text"])
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm._common import small_batches, text_or_empty
+from textloom.llm._common import pieces, text_or_empty
 
 DIMENSIONS = 1 << 13
 CENTROIDS = 4
@@ -133,16 +133,19 @@ def train(rows: list[tuple[str, np.ndarray]], centroids: int = CENTROIDS) -> Mod
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Fit on about ``sample_rows`` of these rows; rows without a label or letters are not learned from."""
-    small_batches(labelled.sparkSession)
+    """Fit on about ``sample_rows`` of these rows; rows without a label or letters are not learned from.
+
+    Rows are drawn by a hash of id and text, so null and repeated ids are drawn like others, and copies of
+    one row together: one of them is kept. No rows: nothing is recognised.
+    """
     rows = labelled.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row per language
     drawn = F.lit(False)
     for lang, n in counts.items():
-        drawn = drawn | ((F.col("lang") == lang) & (F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int((1 << 20) * sample_rows / len(counts) / n) + 1))
+        drawn = drawn | ((F.col("lang") == lang) & (F.pmod(F.xxhash64("id", "text"), F.lit(1 << 20)) < int((1 << 20) * sample_rows / len(counts) / n) + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             found = [(lang, g) for lang, g in zip(batch.column(0).to_pylist(), map(grams, batch.column(1).to_pylist())) if g is not None]
             at = [np.flatnonzero(g) for _, g in found]
             yield pa.RecordBatch.from_arrays(
@@ -151,7 +154,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
             )
 
     got = []
-    for r in sorted(rows.where(drawn).select("lang", "text").mapInArrow(run, "lang string, at binary, n binary").collect(), key=lambda r: (r["lang"], bytes(r["at"]), bytes(r["n"]))):
+    for r in sorted(rows.where(drawn).dropDuplicates(["lang", "text"]).select("lang", "text").mapInArrow(run, "lang string, at binary, n binary").collect(), key=lambda r: (r["lang"], bytes(r["at"]), bytes(r["n"]))):
         g = np.zeros(DIMENSIONS, np.float32)
         g[np.frombuffer(r["at"], "<u2")] = np.frombuffer(r["n"], "<u4")
         got.append((r["lang"], g))
@@ -159,12 +162,15 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """All columns and _lang (und if there is no letter), _score (cosine, 0 to 1), _rejected. A null text is empty."""
-    small_batches(docs.sparkSession)
+    """All columns and _lang (und if there is no letter), _score (cosine, 0 to 1), _rejected.
+
+    A null text is empty. Of languages that are equally near the first by name is taken. Rows are kept as
+    they are, repeated ones too; an empty table gives an empty one.
+    """
     held = docs.sparkSession.sparkContext.broadcast(model)  # bounded: dimensions x languages x centroids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             *rest, text = batch.columns
             lang, score, rejected = zip(*held.value.predict(text.to_pylist())) if batch.num_rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([*rest, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())], [*names, "lang", "score", "rejected"])

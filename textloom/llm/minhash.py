@@ -72,50 +72,36 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return signature(base, "text", "signature").withColumn("fingerprint", fingerprint(F.col("signature")))
 
 
-def range_of(key: Column, cuts: list[int]) -> Column:
-    """How many of these ascending cuts are at or below the key, as a tree of comparisons."""
-
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key >= cuts[mid], tree(mid + 1, hi)).otherwise(tree(lo, mid))
-
-    return tree(0, len(cuts))
-
-
-def with_next(df: DataFrame, id_col: str, take: list[str], cuts: int = 64) -> DataFrame:
+def with_next(df: DataFrame, id_col: str, take: list[str], tie: str, ranges: int | None = None) -> DataFrame:
     """Adds next_<column> of the next row in descending order of the id; the last row's next is the first row.
 
-    Rows are dealt to ranges of the id, cut at its approximate quantiles, and each range also gets
-    the first row of the one that follows. So no task sees more than a range. Null ids come last; rows of one
-    id are ordered by the hashes of the columns taken.
+    Null ids come last; rows of one id are ordered by a hash of the column ``tie``. Light rows (id and hash)
+    are sorted into ranges by Spark, which tells where ranges begin and end, one row a range; whole rows are
+    then dealt to these ranges once, and each range also gets the first row of the one that follows.
     """
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(_LOWEST))
-    found = df.select(key.alias("k")).agg(F.percentile_approx("k", [i / cuts for i in range(1, cuts)], 10_000), F.min("k"), F.max("k")).first()
-    bounds = sorted(set(found[0] or []))
-    fine = max(1, -(-4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // cuts))
-    lows, highs = [found[1] or 0, *bounds], [*bounds, found[2] or 0]
-    top = range_of(F.col("_key"), bounds)
-    low, high = (F.get(F.array(*[F.lit(x) for x in y]), F.col("_top")).cast("double") for y in (lows, highs))
-    inside = F.when(high > low, F.least(F.lit(fine - 1), F.floor((F.col("_key").cast("double") - low) / (high - low) * fine))).otherwise(0)
-    ranged = lambda d: d.withColumn("_key", key).withColumn("_top", top).withColumn("_range", (F.col("_top") * fine + inside).cast("long")).drop("_top")
-
-    # One row for each range: at most cuts * fine.
-    heads = ranged(df.select(id_col)).groupBy("_range").agg(F.max("_key").alias("_head"))
-    around = Window.partitionBy(F.lit(0))
-    heads = heads.select("_head", F.coalesce(F.lead("_range").over(around.orderBy("_range")), F.min("_range").over(around)).alias("_to"))
-    dealt = ranged(df).join(F.broadcast(heads), F.col("_key") == F.col("_head"), "left")
-    own = F.struct(F.col("_range").alias("range"), F.lit(False).alias("guest"))
-    guest = F.struct(F.col("_to").alias("range"), F.lit(True).alias("guest"))
-    dealt = dealt.withColumn("_at", F.explode(F.when(F.col("_to").isNull(), F.array(own)).otherwise(F.array(own, guest))))
-    order = Window.partitionBy("_at.range").orderBy("_at.guest", F.desc("_key"), *[F.xxhash64(c) for c in take])
-    return dealt.select(*df.columns, "_at", *[F.lead(c).over(order).alias(f"next_{c}") for c in take]).where(~F.col("_at.guest")).drop("_at")
+    ranges = ranges or max(256, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # 32 digits that sort as (id, hash) does.
+    digits = lambda x: F.lpad(F.hex(x.bitwiseXOR(F.lit(_LOWEST))), 16, "0")
+    at = F.concat(digits(F.coalesce(F.col(id_col).cast("long"), F.lit(_LOWEST))), digits(F.xxhash64(tie)))
+    light = df.select(at.alias("at")).repartitionByRange(ranges, "at").withColumn("part", F.spark_partition_id())
+    found = light.groupBy("part").agg(F.min("at").alias("low"), F.max("at").alias("high")).orderBy("part").collect()  # one row a range
+    lows, highs = (F.split(F.lit(",".join(r[c] for r in found)), ",") for c in ("low", "high"))
+    own = F.size(F.filter(lows, lambda x: x <= F.col("_at"))) - 1
+    dealt = df.withColumn("_at", at).withColumn("_range", own)
+    here = F.struct(F.col("_range").alias("range"), F.lit(False).alias("guest"))
+    there = F.struct(F.pmod(F.col("_range") + 1, F.lit(max(1, len(found)))).cast("int").alias("range"), F.lit(True).alias("guest"))
+    dealt = dealt.withColumn("_to", F.explode(F.when(F.col("_at") == F.get(highs, F.col("_range")), F.array(here, there)).otherwise(F.array(here))))
+    order = Window.partitionBy("_to.range").orderBy("_to.guest", F.desc("_at"))
+    return dealt.select(*df.columns, "_to", *[F.lead(c).over(order).alias(f"next_{c}") for c in take]).where(~F.col("_to.guest")).drop("_to")
 
 
 def edited_likeness(docs: DataFrame) -> DataFrame:
-    """Each document beside its edited text and the next document, in descending order of doc_id."""
-    rows = with_next(signature(docs.select("doc_id", text_or_empty().alias("text")), "text", "sig"), "doc_id", ["text", "sig"])
+    """Each document beside its edited text and the next document, in descending order of doc_id.
+
+    A null text is empty. Null ids come last, and repeated ids are ordered by a hash of the text, so equal
+    rows alone may change places. One document is its own next; an empty table gives an empty one.
+    """
+    rows = with_next(signature(docs.select("doc_id", text_or_empty().alias("text")), "text", "sig"), "doc_id", ["text", "sig"], "text")
     n, cut = F.char_length("text"), F.floor(F.char_length("text") / 3).cast("int")
     rows = rows.select("doc_id", n.cast("long").alias("n_chars"), "sig", "next_sig", F.concat(F.substring(F.col("text"), F.lit(1), n - cut), F.substring(F.col("next_text"), F.lit(1), cut)).alias("edited"))
     rows = signature(rows, "edited", "edited_sig")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm._common import new_folder, table, text_or_empty
+from textloom.llm.oracle import ORACLE_SQL  # noqa: F401
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,5 +91,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_repeats": op9_repeats,
     "op10_sharding": op10_sharding,
 }
-
-ORACLE_SQL: dict[str, str] = {}

@@ -1,8 +1,8 @@
 """Near copies by the exact Jaccard similarity of their sets of shingles.
 
-Bands of MinHash values propose: texts that share a band are connected, nothing more. What is connected
-is then compared pair by pair, exactly, and the groups are the components of the pairs that are similar
-enough. A pair is missed only if no band and no chain of bands connects it.
+SimHash links and bands of MinHash values propose: texts that have one in common are connected, nothing
+more. What is connected is then compared pair by pair, exactly, and the groups are the components of the
+pairs that are similar enough. A pair is missed only if no link, no band and no chain of them connects it.
 """
 
 from __future__ import annotations
@@ -12,16 +12,20 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm._common import materialize, small_batches, text_or_empty
+from textloom.llm._common import materialize, pieces, text_or_empty
 from textloom.llm.graph import components, within
-from textloom.llm.simhash import SEED, hashes
+from textloom.llm.maps import bit_map, maybe_in
+from textloom.llm.simhash import DISTANCE, SEED, fingerprint_of, hashes, links
 
 #: At similarity 0.8 a pair shares no band of six values once in 190,000 times.
 ROWS, BANDS = 6, 40
+#: A band is chained in SALTS parts if over HOT_ROWS of one in SAMPLED rows have it.
+SALTS, SAMPLED, HOT_ROWS = 64, 64, 64
 #: For quotients that floating point rounds up.
 _EPS = 1e-9
 
@@ -100,29 +104,46 @@ def linked(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.nd
     return order[np.array(a, np.int64)], order[np.array(b, np.int64)]
 
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order_col: str | None = None, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+def chained(classes: DataFrame) -> DataFrame:
+    """Links (a, b) that connect the fp of rows (fp, bands) with a band in common.
+
+    Rows of one band are chained in order. A band of very many rows, found in a sample, is chained in
+    SALTS parts, and the firsts of these parts are chained too.
+    """
+    posted = classes.select("fp", F.explode("bands").alias("k"))
+    chain = lambda rows, *by: rows.select("fp", F.lag("fp").over(Window.partitionBy(*by).orderBy("fp")).alias("before")).where("before is not null").select(F.col("before").alias("a"), F.col("fp").alias("b"))
+    hot = bit_map(posted.where(F.pmod(F.xxhash64("fp"), F.lit(SAMPLED)) == 0).groupBy("k").count().where(F.col("count") > HOT_ROWS), "k")
+    if not hot.any():
+        return chain(posted, "k")
+    salt = F.when(maybe_in(classes.sparkSession, hot)("k"), F.pmod(F.xxhash64("fp"), F.lit(SALTS))).otherwise(-1)
+    salted = posted.withColumn("salt", salt)
+    firsts = salted.where("salt >= 0").groupBy("k", "salt").agg(F.min("fp").alias("fp"))
+    return chain(salted, "k", "salt").unionByName(chain(firsts, "k"))
+
+
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order_col: str | None = None, shingle: int = 5, similarity: float = 0.8, distance: int = DISTANCE) -> DataFrame:
     """One row per document: id and component_id, the id of that row of its group which is the least by (order_col, id), nulls first.
 
     Rows of one id have one text. Texts of one set of shingles are one class, which enters the search once.
     """
-    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(t, shingle) for t in batch.column(2).to_pylist()]
+        for batch in pieces(batches):
+            found = [hashes(t, shingle) for t in batch.column(2).to_pylist()]
+            sets = [np.unique(h) for h in found]
             names = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names), pa.array([bands(s) for s in sets], pa.list_(pa.int64()))], ["id", "place", "fp", "bands"])
+            sim = np.array([fingerprint_of(h) for h in found], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names), pa.array(sim), pa.array([bands(s) for s in sets], pa.list_(pa.int64())), pc.binary_length(batch.column(2))], ["id", "place", "fp", "sim", "bands", "size"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(order_col or id_col).alias("place"), text_or_empty(text_col).alias("text"))
     types = {c: rows.schema[c].dataType.simpleString() for c in ("id", "place")}
-    marked = materialize(rows.mapInArrow(run, f"id {types['id']}, place {types['place']}, fp long, bands array<long>"))
-    classes = materialize(marked.groupBy("fp").agg(F.min(F.struct("place", "id")).alias("least"), F.first("bands").alias("bands")))
-    posted = classes.select("fp", F.explode("bands").alias("k"))
-    chained = posted.select("fp", F.lag("fp").over(Window.partitionBy("k").orderBy("fp")).alias("before")).where("before is not null")
-    roots = components(chained.select(F.col("before").alias("a"), F.col("fp").alias("b")))
-    chosen = classes.join(roots.select(F.col("node").alias("fp"), "root"), "fp").select("root", "fp", F.col("least.id").alias("id"))
-    texts = rows.join(chosen, "id").select("root", F.col("fp").alias("node"), F.col("text").alias("value"), F.octet_length("text").alias("size")).dropDuplicates(["node"])
-    found = components(within(texts, lambda column: [shingle_set(t, shingle) for t in column.to_pylist()], lambda sets: linked(sets, similarity)))
+    marked = materialize(rows.mapInArrow(run, f"id {types['id']}, place {types['place']}, fp long, sim long, bands array<long>, size int"))
+    classes = materialize(marked.groupBy("fp").agg(F.min(F.struct("place", "id")).alias("least"), F.first("sim").alias("sim"), F.first("bands").alias("bands"), F.max("size").alias("size")))
+    proposed = chained(classes).unionByName(links(classes.select(F.col("fp").alias("node"), F.col("sim").alias("fp")), distance))
+    roots = components(proposed)
+    chosen = classes.join(roots.select(F.col("node").alias("fp"), "root"), "fp").select("root", F.col("fp").alias("node"), F.col("least.id").alias("id"), "size")
+    texts = rows.join(chosen.select("id", "node"), "id").groupBy("node").agg(F.first("text").alias("value"))
+    found = components(within(chosen, texts, lambda column: [shingle_set(t, shingle) for t in column.to_pylist()], lambda sets: linked(sets, similarity)))
     rooted = classes.join(found.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").getField("id").alias("component_id"))
     return marked.select("id", "fp").join(rooted.join(named, "root").select("fp", "component_id"), "fp").select(F.col("id").alias(id_col), "component_id")

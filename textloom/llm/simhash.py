@@ -8,17 +8,15 @@ tallied by bytes shared, those under the guaranteed minimum are dropped, the oth
 differing bits. Under a key with many fingerprints only a spanning forest of the links is kept, which
 has the same groups; a link met under several keys is kept under the first.
 
-Fingerprints can have several blocks of 64 bits, made from hashes drawn anew. Then texts are linked
-that are within the distance in one block and differ, in all blocks together, in no more bits than
-texts of a given similarity do. A forest of the first kind of links is not one of the second, so all
-pairs of what it connects are compared again.
+With a similarity, links only propose: texts are compared by the exact Jaccard similarity of their sets of
+shingles (``shingles``). Fingerprints of texts at 0.8 differ in about ten of 64 bits, which no index finds
+among many, so bands of MinHash values propose as well, and both proposals are verified in the same way.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from itertools import combinations
-from math import acos, pi, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +24,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm._common import large_batches, materialize, small_batches, text_or_empty
-from textloom.llm.graph import components, within
+from textloom.llm._common import large_batches, materialize, pieces, text_or_empty
+from textloom.llm.graph import components
 
 SEED = 42
 SHINGLE = 3
@@ -38,9 +36,6 @@ BLOCK = 1 << 15
 FEW = 32
 
 
-_GOLDEN, _MIX_A, _MIX_B = 0x9E3779B97F4A7C15, np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)  # public constants of a 64-bit mixer
-
-
 def hashes(text: str, shingle: int = SHINGLE) -> np.ndarray:
     """XXH64 of each run of so many words, of all words if they are fewer; none for a text without words."""
     words = text.encode().lower().split()  # of bytes: only A-Z change, only blanks and \t to \r separate
@@ -55,46 +50,28 @@ def hashes(text: str, shingle: int = SHINGLE) -> np.ndarray:
     return np.array([digest(joined[a:b], SEED) for a, b in zip(starts, stops)], "<u8")
 
 
-def fingerprints(text: str, shingle: int = SHINGLE, blocks: int = 1) -> np.ndarray:
-    """Bit i of a block is set if it is set in over half of the shingles' hashes; zeros for a text without words.
-
-    The first block's hashes are XXH64; those of others are mixed from them.
-    """
-    out = np.zeros(blocks, "<u8")
-    first = hashes(text, shingle)
-    n = len(first)
-    if not n:
-        return out
-    for j in range(blocks):
-        h = first
-        if j:
-            h = h + np.uint64(_GOLDEN * j % (1 << 64))
-            h = (h ^ h >> np.uint64(30)) * _MIX_A
-            h = (h ^ h >> np.uint64(27)) * _MIX_B
-            h ^= h >> np.uint64(31)
-        ones = np.zeros(64, np.int64)
-        for at in range(0, n, 1 << 16):
-            ones += np.unpackbits(h[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        out[j] = np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0]
-    return out
+def fingerprint_of(h: np.ndarray) -> int:
+    """Bit i is set if it is set in over half of these hashes; zero for none."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(h), 1 << 16):
+        ones += np.unpackbits(h[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(ones * 2 > len(h), bitorder="little").view("<u8")[0])
 
 
 def fingerprint(text: str, shingle: int = SHINGLE) -> int:
-    return int(fingerprints(text, shingle)[0])
+    return fingerprint_of(hashes(text, shingle))
 
 
-def with_fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, blocks: int = 1) -> DataFrame:
-    """id, fps (blocks of 64 bits as signed longs) and fp (the one block, or a hash of all) of every row; a null text has no words."""
-    small_batches(docs.sparkSession)
+def with_fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """id and fp (64 bits as a signed long) of every row; a null text has no words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [fingerprints(t, shingle, blocks).view(np.int64).tolist() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["id", "fps"])
+        for batch in pieces(batches):
+            found = [_signed(fingerprint(t, shingle)) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], ["id", "fp"])
 
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    marked = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fps array<long>")
-    return marked.withColumn("fp", F.get("fps", 0) if blocks == 1 else F.xxhash64("fps"))
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fp long")
 
 
 def position_sets(distance: int) -> list[tuple[int, ...]]:
@@ -231,16 +208,14 @@ def _numbered(key: Column, n: Column) -> Column:
     return key.bitwiseAND(F.lit(~_SETS)).bitwiseOR(n.cast("long"))
 
 
-def links(classes: DataFrame, distance: int = DISTANCE, block: int = BLOCK, blocks: int = 1) -> DataFrame:
-    """Links (a, b) between the fp of rows (fp, fps) that make the same groups as all pairs within the distance in some block."""
+def links(classes: DataFrame, distance: int = DISTANCE, block: int | None = None) -> DataFrame:
+    """Links (a, b) between nodes of rows (node, fp) that make the same groups as all pairs within the distance."""
+    block = block or BLOCK
     masks = [sum(0xFF << 8 * p for p in s) for s in position_sets(distance)]
-    postings = [
-        F.struct(_numbered(F.xxhash64(F.lit(j), F.lit(n), F.get("fps", j).bitwiseAND(F.lit(_signed(m)))), F.lit(n)).alias("k"), F.get("fps", j).alias("value"))
-        for j in range(blocks) for n, m in enumerate(masks)
-    ]
+    postings = [F.struct(_numbered(F.xxhash64(F.lit(n), F.col("fp").bitwiseAND(F.lit(_signed(m)))), F.lit(n)).alias("k")) for n, m in enumerate(masks)]
     schema = "kind long, a long, b long, c long"
     dealt = lambda d: d.repartition("k").sortWithinPartitions("k")
-    postings = classes.select(F.explode(F.array(*postings)).alias("p"), "fp").select("p.k", F.col("fp").alias("node"), "p.value")
+    postings = classes.select(F.explode(F.array(*postings)).alias("p"), "node", "fp").select("p.k", "node", F.col("fp").alias("value"))
     with large_batches(classes.sparkSession):
         met = materialize(dealt(postings).mapInArrow(_links(distance, block), schema))
     found = met.where("kind = 0").select("a", "b")
@@ -254,38 +229,23 @@ def links(classes: DataFrame, distance: int = DISTANCE, block: int = BLOCK, bloc
     return found.unionByName(dealt(pairs.select(key.alias("k"), "node", "value")).mapInArrow(_links(distance, 2 * block), schema).select("a", "b"))
 
 
-def bits_at(similarity: float, bits: int) -> int:
-    """Differing bits of texts whose sets of shingles have this similarity: the mean and half a standard deviation."""
-    p = acos(2 * similarity / (1 + similarity)) / pi
-    return int(bits * p + sqrt(bits * p * (1 - p)) / 2)
-
-
-def similar(roots: DataFrame, classes: DataFrame, distance: int, similarity: float, blocks: int, most: int | None = None) -> DataFrame:
-    """Links between the fp of one root that are within the distance in a block and differ, in all blocks, in no more bits than texts of this similarity.
-
-    A root's links need not be known: all its pairs are compared, so no pair depends on a third that is not similar.
-    """
-    limit = bits_at(similarity, 64 * blocks)
-
-    def search(values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        return spanning(np.stack(values), lambda differ: (np.bitwise_count(differ).sum(axis=1, dtype=np.int64) <= limit) & (np.bitwise_count(differ) <= distance).any(axis=1))
-
-    members = classes.join(roots.select(F.col("node").alias("fp"), "root"), "fp").select("root", F.col("fp").alias("node"), F.col("fps").alias("value"), F.lit(8 * blocks).alias("size"))
-    return within(members, lambda column: [np.array(x, np.int64).view(np.uint64) for x in column.to_pylist()], search, most)
-
-
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE, blocks: int = 1, similarity: float | None = None) -> DataFrame:
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE, similarity: float | None = None, order_col: str | None = None) -> DataFrame:
     """One row per document: id, fp, component_id (the least id of its group, itself included).
 
     Texts without words have the fingerprint 0 and are linked like any other. Copies share a
     fingerprint and enter the search once. A null id is no component's name unless it has no other.
+    An empty table has no groups; extra columns are ignored.
+
+    With a similarity: id and component_id, the id of that row of its group which is the least by
+    (order_col, id), nulls first; rows of one id must have one text. See ``shingles.groups``.
     """
-    marked = materialize(with_fingerprint(docs, id_col, text_col, shingle, blocks))
-    classes = materialize(marked.groupBy("fp").agg(F.min("id").alias("least"), F.first("fps").alias("fps")))
-    met = links(classes.select("fp", "fps"), distance, blocks=blocks)
-    roots = components(met)
     if similarity is not None:
-        roots = components(similar(roots, classes, distance, similarity, blocks))
+        from textloom.llm import shingles
+
+        return shingles.groups(docs, id_col, text_col, order_col, shingle, similarity, distance)
+    marked = materialize(with_fingerprint(docs, id_col, text_col, shingle))
+    classes = materialize(marked.groupBy("fp").agg(F.min("id").alias("least")))
+    roots = components(links(classes.select(F.col("fp").alias("node"), "fp"), distance))
     rooted = classes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     found = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")

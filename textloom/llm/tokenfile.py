@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from textloom.llm._common import materialize, small_batches, text_or_empty
+from textloom.llm._common import materialize, pieces, text_or_empty
 from textloom.llm.tokens import default_tokenizer, encoder
 
 MAGIC = b"TLBITS01"
@@ -57,11 +57,11 @@ def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
 
 
 class Writer:
-    """Writes one file under another name and moves it into place when it is whole."""
+    """Writes one file under a name that no other attempt uses; the table of files names those of the attempts that count."""
 
-    def __init__(self, fs: pafs.FileSystem, path: str, bits: int, attempt: str):
-        self.fs, self.path, self.bits, self.temporary = fs, path, bits, f"{path}.{attempt}.tmp"
-        self.out = fs.open_output_stream(self.temporary)
+    def __init__(self, fs: pafs.FileSystem, path: str, bits: int):
+        self.fs, self.path, self.bits = fs, path, bits
+        self.out = fs.open_output_stream(path)
         self.offsets, self.ids, self.keys, self.firsts, self.pending, self.waiting = [0], 0, [], [0], [], 0
 
     def add(self, key: int | None, ids: bytes) -> None:
@@ -88,7 +88,10 @@ class Writer:
             self.out.write(np.asarray(values, kind).tobytes())
         self.out.write(_HEAD.pack(MAGIC, self.bits, BLOCK, len(self.keys), self.ids) + struct.pack("<Q", self.offsets[-1]) + MAGIC)
         self.out.close()
-        self.fs.move(self.temporary, self.path)
+
+    def abandon(self) -> None:
+        self.out.close()
+        self.fs.delete_file(self.path)
 
 
 class Reader:
@@ -143,9 +146,9 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
 
     Returns part, nth, path, documents, ids and first (ids in all files before it), one row per file. A
     null text is empty; null ids come first; rows of one id are ordered by text. An empty table: no file.
+    Files of attempts that were lost may stay in the folder; only those in the table are read.
     """
     spark, source = docs.sparkSession, tokenizer or default_tokenizer()
-    small_batches(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end, task = encoder(source), np.array([end_id], "<u4").tobytes(), TaskContext.get()
@@ -159,15 +162,20 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
             made.append((part, nth, writer.path, len(writer.keys), writer.ids))
             nth, writer = nth + 1, None
 
-        for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if writer is None:
-                    writer = Writer(fs, f"{root}/part-{part:06d}-{nth:06d}.bits", width(enc.vocabulary), f"{task.taskAttemptId()}")
-                writer.add(key, enc.encode(text) + end)
-                if writer.ids >= file_ids:
-                    close()
-        if writer is not None:
-            close()
+        try:
+            for batch in pieces(batches):
+                for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    if writer is None:
+                        writer = Writer(fs, f"{root}/part-{part:06d}-{nth:06d}-{task.taskAttemptId()}.bits", width(enc.vocabulary))
+                    writer.add(key, enc.encode(text) + end)
+                    if writer.ids >= file_ids:
+                        close()
+            if writer is not None:
+                close()
+        except BaseException:
+            if writer is not None:
+                writer.abandon()
+            raise
         columns = list(zip(*made)) or [[]] * 5
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()))], ["part", "nth", "path", "documents", "ids"])
 
@@ -184,7 +192,7 @@ def read_tokens(spark: SparkSession, files: DataFrame, folder: str) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, _ = file_system(folder)
-        for batch in batches:
+        for batch in pieces(batches):
             for path, first in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 held, size = [], 0
                 for key, start, ids in Reader(fs, path).documents():
