@@ -267,3 +267,16 @@ def test_router_recall():
 def test_ids_have_the_checksum_of_their_bytes():
     ids = np.array([1, 2, 50256], "<u4")
     assert zlib.crc32(ids.tobytes()) == zlib.crc32(b"\1\0\0\0\2\0\0\0\x50\xc4\0\0")
+
+
+def test_stars_connect_what_links_do():
+    from textloom.llm.graph import stars
+
+    r = np.random.default_rng(3)
+    x, y = r.integers(0, 400, 300), r.integers(0, 400, 300)
+    root = {int(v): int(v) for v in np.r_[x, y]}
+    for a, b in zip(x.tolist(), y.tolist()):
+        keep, go = sorted((root[a], root[b]))
+        root = {k: keep if v == go else v for k, v in root.items()}
+    a, b = stars(x, y)
+    assert dict(zip(b.tolist(), a.tolist())) == root

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from textloom.llm import ann, bpe, html, langid, minhash, packing, sharding, simhash, suffix, tokenfile, tokens
+from textloom.llm import ann, bpe, html, langid, maps, minhash, packing, sharding, simhash, suffix, tokenfile, tokens
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, fp string, ids string, part string, rank string"
 
@@ -92,6 +92,7 @@ def test_pages(spark):
 @pytest.mark.parametrize("block", [1 << 15, 4])
 def test_simhash_groups(unique, none, monkeypatch, block):
     monkeypatch.setattr(simhash, "BLOCK", block)
+    monkeypatch.setattr(maps, "HOT_ROWS", 4096 if block > 4 else 1)
     texts = by_id(unique, "text")
     fp = {k: simhash.fingerprint(t or "") for k, t in texts.items()}
     parent = {k: k for k in fp}
@@ -208,7 +209,7 @@ def removed(texts):
 @pytest.mark.parametrize("limit, hot", [(suffix.TRANSFORM, 4096), (4000, 4096), (800, 1)])
 def test_repeats(docs, none, limit, hot, monkeypatch):
     """With small limits anchors are split, again and again, and joins salted."""
-    monkeypatch.setattr(suffix, "HOT_ROWS", hot)
+    monkeypatch.setattr(maps, "HOT_ROWS", hot)
     data = [(r.doc_id, (r.text or "").encode()) for r in docs.collect()]
     want = sorted(
         ((k is not None, k or 0), sum(m), len(re.findall(b"\1+", bytes(m))), bytes(x for x, y in zip(t, m) if not y)) for (k, t), m in zip(data, removed([t for _, t in data]))
@@ -220,7 +221,7 @@ def test_repeats(docs, none, limit, hot, monkeypatch):
 
 def test_repeats_of_one_line_in_most_texts(spark, monkeypatch):
     """A line shorter and one longer than a string that is removed, in many texts, so that one anchor holds most contexts."""
-    monkeypatch.setattr(suffix, "HOT_ROWS", 8)
+    monkeypatch.setattr(maps, "HOT_ROWS", 8)
     r = random.Random(3)
     word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randint(2, 9)))
     text = lambda n: " ".join(word() for _ in range(n))
@@ -259,7 +260,9 @@ def test_near_copies_are_those_of_jaccard(spark, monkeypatch, most):
     """Pairs just over and under the threshold, and pages of one template, unlike enough to stay."""
     import corpus_pipeline as P
 
-    monkeypatch.setattr("textloom.llm.graph.MOST", most, raising=False)
+    monkeypatch.setattr("textloom.llm.graph.MOST", most)
+    monkeypatch.setattr(maps, "HOT_ROWS", 4096 if most > 64 else 1)
+    monkeypatch.setattr("textloom.llm.shingles.HOT_ROWS", 64 if most > 64 else 0)
     r = random.Random(4)
     word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
     texts = []

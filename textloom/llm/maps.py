@@ -40,3 +40,17 @@ def maybe_in(spark, bits: np.ndarray):
         return pd.Series(in_map(held.value, keys.to_numpy()))
 
     return test
+
+
+#: Rows of one key that a join meets in one task; keys with more are dealt to SALTS tasks.
+HOT_ROWS, SALTS = 1 << 12, 64
+
+
+def joined(many: DataFrame, few: DataFrame, on: list[str], hot: np.ndarray, key: str, spread: Column, how: str = "inner") -> DataFrame:
+    """A join by sorting, in which keys in the map of hot ones are dealt by ``spread`` and their rows of ``few`` go to all salts."""
+    if not hot.any():
+        return many.join(few.hint("merge"), on, how)
+    test = maybe_in(many.sparkSession, hot)
+    many = many.withColumn("_salt", F.when(test(key), F.pmod(spread, F.lit(SALTS))).otherwise(0))
+    few = few.withColumn("_salt", F.explode(F.when(test(key), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))).cast("array<long>")))
+    return many.join(few.hint("merge"), [*on, "_salt"], how).drop("_salt")

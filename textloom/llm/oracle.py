@@ -34,9 +34,9 @@ ORACLE_SQL: dict[str, str] = {
       s as (select k, unnest(range(0, n - 199)) as o, b from d where n >= 200),
       g as (select k, o, count(*) over (partition by b[o + 1 : o + 200]) as n from s),
       m as (select k, o, case when o - lag(o) over (partition by k order by o) <= 200 then 0 else 1 end as fresh from g where n > 1),
-      i as (select k, min(o) as a, max(o) + 200 as b from (select *, sum(fresh) over (partition by k order by o) as run from m) group by k, run),
-      e as (select k, a, b, lag(b, 1, 0::bigint) over (partition by k order by a) as before from i),
-      f as (select e.k, count(*) as spans, sum(b - a)::bigint as removed, max(b) as last, string_agg(substr(d.h, 2 * before + 1, 2 * (a - before)), '' order by a) as kept from e join d using (k) group by e.k)
+      i as (select k, min(o) as x, max(o) + 200 as y from (select *, sum(fresh) over (partition by k order by o) as run from m) group by k, run),
+      e as (select k, x, y, lag(y, 1, 0::bigint) over (partition by k order by x) as before from i),
+      f as (select e.k, count(*) as spans, sum(y - x)::bigint as removed, max(y) as last, string_agg(substr(d.h, 2 * before + 1, 2 * (x - before)), '' order by x) as kept from e join d using (k) group by e.k)
       select d.doc_id, d.n as n_bytes, coalesce(f.removed, 0)::bigint as n_removed, coalesce(f.spans, 0)::bigint as n_spans, sha256(unhex(case when f.k is null then d.h else concat(f.kept, substr(d.h, 2 * f.last + 1)) end)) as kept_sha256
       from d left join f using (k)""",
 }

@@ -2,7 +2,7 @@
 
 SimHash links and bands of MinHash values propose: texts that have one in common are connected, nothing
 more. What is connected is then compared pair by pair, exactly, and the groups are the components of the
-pairs that are similar enough. A pair is missed only if no link, no band and no chain of them connects it.
+pairs that are similar enough. A pair is missed only if no link, no band and no path of them connects it.
 """
 
 from __future__ import annotations
@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.llm._common import materialize, pieces, text_or_empty
-from textloom.llm.graph import components, within
+from textloom.llm.graph import components, named, within
 from textloom.llm.maps import bit_map, maybe_in
-from textloom.llm.simhash import DISTANCE, SEED, fingerprint_of, hashes, links
+from textloom.llm.simhash import DISTANCE, SEED, fingerprint_of, hashes, links, with_names
 
 #: At similarity 0.8 a pair shares no band of six values once in 190,000 times.
 ROWS, BANDS = 6, 40
@@ -104,21 +104,21 @@ def linked(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.nd
     return order[np.array(a, np.int64)], order[np.array(b, np.int64)]
 
 
-def chained(classes: DataFrame) -> DataFrame:
+def banded(classes: DataFrame) -> DataFrame:
     """Links (a, b) that connect the fp of rows (fp, bands) with a band in common.
 
-    Rows of one band are chained in order. A band of very many rows, found in a sample, is chained in
-    SALTS parts, and the firsts of these parts are chained too.
+    Rows of one band are linked to their first. A band of very many rows, found in a sample, is linked in
+    SALTS parts, and the firsts of these parts are linked too.
     """
     posted = classes.select("fp", F.explode("bands").alias("k"))
-    chain = lambda rows, *by: rows.select("fp", F.lag("fp").over(Window.partitionBy(*by).orderBy("fp")).alias("before")).where("before is not null").select(F.col("before").alias("a"), F.col("fp").alias("b"))
+    star = lambda rows, *by: rows.select(F.first("fp").over(Window.partitionBy(*by).orderBy("fp")).alias("a"), F.col("fp").alias("b")).where("a <> b")
     hot = bit_map(posted.where(F.pmod(F.xxhash64("fp"), F.lit(SAMPLED)) == 0).groupBy("k").count().where(F.col("count") > HOT_ROWS), "k")
     if not hot.any():
-        return chain(posted, "k")
+        return star(posted, "k")
     salt = F.when(maybe_in(classes.sparkSession, hot)("k"), F.pmod(F.xxhash64("fp"), F.lit(SALTS))).otherwise(-1)
     salted = posted.withColumn("salt", salt)
     firsts = salted.where("salt >= 0").groupBy("k", "salt").agg(F.min("fp").alias("fp"))
-    return chain(salted, "k", "salt").unionByName(chain(firsts, "k"))
+    return star(salted, "k", "salt").unionByName(star(firsts, "k"))
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order_col: str | None = None, shingle: int = 5, similarity: float = 0.8, distance: int = DISTANCE) -> DataFrame:
@@ -139,11 +139,10 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
     types = {c: rows.schema[c].dataType.simpleString() for c in ("id", "place")}
     marked = materialize(rows.mapInArrow(run, f"id {types['id']}, place {types['place']}, fp long, sim long, bands array<long>, size int"))
     classes = materialize(marked.groupBy("fp").agg(F.min(F.struct("place", "id")).alias("least"), F.first("sim").alias("sim"), F.first("bands").alias("bands"), F.max("size").alias("size")))
-    proposed = chained(classes).unionByName(links(classes.select(F.col("fp").alias("node"), F.col("sim").alias("fp")), distance))
+    proposed = banded(classes).unionByName(links(classes.select(F.col("fp").alias("node"), F.col("sim").alias("fp")), distance))
     roots = components(proposed)
-    chosen = classes.join(roots.select(F.col("node").alias("fp"), "root"), "fp").select("root", F.col("fp").alias("node"), F.col("least.id").alias("id"), "size")
-    texts = rows.join(chosen.select("id", "node"), "id").groupBy("node").agg(F.first("text").alias("value"))
+    chosen = classes.join(roots.select(F.col("node").alias("fp"), "root").hint("merge"), "fp").select("root", F.col("fp").alias("node"), F.col("least.id").alias("id"), "size")
+    texts = rows.join(chosen.select("id", "node").hint("merge"), "id").groupBy("node").agg(F.first("text").alias("value"))
     found = components(within(chosen, texts, lambda column: [shingle_set(t, shingle) for t in column.to_pylist()], lambda sets: linked(sets, similarity)))
-    rooted = classes.join(found.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least").getField("id").alias("component_id"))
-    return marked.select("id", "fp").join(rooted.join(named, "root").select("fp", "component_id"), "fp").select(F.col("id").alias(id_col), "component_id")
+    names = named(classes, found, "fp", F.col("least")).select("fp", F.col("component_id.id").alias("component_id"))
+    return with_names(marked.select("id", "fp"), names).select(F.col("id").alias(id_col), "component_id")

@@ -24,8 +24,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textloom.llm import maps
 from textloom.llm._common import large_batches, materialize, pieces, text_or_empty
-from textloom.llm.graph import components
+from textloom.llm.graph import components, named
+from textloom.llm.maps import bit_map, joined
 
 SEED = 42
 SHINGLE = 3
@@ -246,10 +248,13 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
     marked = materialize(with_fingerprint(docs, id_col, text_col, shingle))
     classes = materialize(marked.groupBy("fp").agg(F.min("id").alias("least")))
     roots = components(links(classes.select(F.col("fp").alias("node"), "fp"), distance))
-    rooted = classes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    found = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")
-    return marked.join(found, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    return with_names(marked, named(classes, roots, "fp", F.col("least"))).select(F.col("id").alias(id_col), "fp", "component_id")
+
+
+def with_names(marked: DataFrame, names: DataFrame) -> DataFrame:
+    """The rows and the component_id of their fp, which very many copies may share."""
+    often = bit_map(marked.groupBy("fp").count().where(F.col("count") > maps.HOT_ROWS), "fp")
+    return joined(marked, names, ["fp"], often, "fp", F.xxhash64("id"))
 
 
 def digits(fp: str | Column = "fp") -> Column:
