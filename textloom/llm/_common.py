@@ -23,8 +23,20 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Batches of whole texts must be small, on the JVM's side too. Sessions of ``textloom.session`` have this size from the start.
+
+    Elsewhere it is lowered and stays so, since plans read it when they run; a smaller one is left alone.
+    """
+    if int(spark.conf.get(_BATCH)) > BATCH_ROWS:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+
+
 def pieces(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
-    """Arrow batches cut to so many rows, so that few texts at a time become Python objects; the session's batch size stays as it is."""
+    """Arrow batches cut to so many rows, so that few texts at a time become Python objects."""
     for b in batches:
         for at in range(0, b.num_rows, rows):
             yield b.slice(at, rows)
@@ -33,13 +45,12 @@ def pieces(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterato
 @contextmanager
 def large_batches(spark: SparkSession) -> Iterator[None]:
     """For rows of a few numbers; holds for what is computed inside."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(1 << 15))
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(1 << 15))
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        spark.conf.set(_BATCH, before)
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm._common import pieces, text_or_empty
+from textloom.llm._common import pieces, small_batches, text_or_empty
 from textloom.llm.tokens import byte_alphabet
 
 #: Remembered words in one Python worker, and their longest length; the store is emptied when it is full.
@@ -159,6 +159,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     stands for itself; other columns are ignored. Encode and decode share one pass over the texts.
     """
     path = path or default_vocabulary()
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)

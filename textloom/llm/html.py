@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm._common import pieces
+from textloom.llm._common import pieces, small_batches
 
 # Element names of HTML.
 _INLINE = frozenset(
@@ -388,6 +388,7 @@ def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     A null page is empty; repeated rows and null keys are rows like others, and no row is dropped; an empty
     table gives an empty one. Whole pages are read, whatever their length.
     """
+    small_batches(pages.sparkSession)
     held = pages.sparkSession.sparkContext.broadcast(trained())  # bounded: one weight for each feature of the training pages
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm._common import pieces, text_or_empty
+from textloom.llm._common import pieces, small_batches, text_or_empty
 
 DIMENSIONS = 1 << 13
 CENTROIDS = 4
@@ -138,6 +138,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     Rows are drawn by a hash of id and text, so null and repeated ids are drawn like others, and copies of
     one row together: one of them is kept. No rows: nothing is recognised.
     """
+    small_batches(labelled.sparkSession)
     rows = labelled.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # one row per language
     drawn = F.lit(False)
@@ -167,6 +168,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     A null text is empty. Of languages that are equally near the first by name is taken. Rows are kept as
     they are, repeated ones too; an empty table gives an empty one.
     """
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)  # bounded: dimensions x languages x centroids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm._common import pieces, text_or_empty
+from textloom.llm._common import pieces, small_batches, text_or_empty
 from textloom.llm.tokens import default_tokenizer, encoder
 
 CAPACITY = 1024
@@ -74,6 +74,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
     itself; other columns are ignored; an empty table gives an empty one. Ties in length keep the order of rows.
     """
     path = tokenizer or default_tokenizer()
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm._common import materialize, pieces, text_or_empty
+from textloom.llm._common import materialize, pieces, small_batches, text_or_empty
 from textloom.llm.graph import components, named, within
 from textloom.llm.maps import bit_map, maybe_in
 from textloom.llm.simhash import DISTANCE, SEED, fingerprint_of, hashes, links, with_names
@@ -135,6 +135,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
             sim = np.array([fingerprint_of(h) for h in found], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names), pa.array(sim), pa.array([bands(s) for s in sets], pa.list_(pa.int64())), pc.binary_length(batch.column(2))], ["id", "place", "fp", "sim", "bands", "size"])
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(order_col or id_col).alias("place"), text_or_empty(text_col).alias("text"))
     types = {c: rows.schema[c].dataType.simpleString() for c in ("id", "place")}
     marked = materialize(rows.mapInArrow(run, f"id {types['id']}, place {types['place']}, fp long, sim long, bands array<long>, size int"))

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm import maps
-from textloom.llm._common import large_batches, materialize, pieces, text_or_empty
+from textloom.llm._common import large_batches, materialize, pieces, small_batches, text_or_empty
 from textloom.llm.graph import components, named
 from textloom.llm.maps import bit_map, joined
 
@@ -72,6 +72,7 @@ def with_fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             found = [_signed(fingerprint(t, shingle)) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], ["id", "fp"])
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fp long")
 

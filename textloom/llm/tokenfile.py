@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from textloom.llm._common import materialize, pieces, text_or_empty
+from textloom.llm._common import materialize, pieces, small_batches, text_or_empty
 from textloom.llm.tokens import default_tokenizer, encoder
 
 MAGIC = b"TLBITS01"
@@ -149,6 +149,7 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
     Files of attempts that were lost may stay in the folder; only those in the table are read.
     """
     spark, source = docs.sparkSession, tokenizer or default_tokenizer()
+    small_batches(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end, task = encoder(source), np.array([end_id], "<u4").tobytes(), TaskContext.get()
