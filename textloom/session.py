@@ -6,11 +6,13 @@ from pyspark.sql import SparkSession
 
 #: Results depend on these two.
 SETTINGS = {"spark.sql.session.timeZone": "UTC", "spark.sql.ansi.enabled": "true"}
+#: Rows are whole texts, so an Arrow batch must hold few of them.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "512"}
 
 
 def build(master: str = "local[*]", shuffle_partitions: int = 8, memory: str = "4g") -> SparkSession:
     builder = SparkSession.builder.master(master).appName("textloom")
-    for k, v in SETTINGS.items():
+    for k, v in (SETTINGS | BATCHES).items():
         builder = builder.config(k, v)
     return (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions)).config("spark.driver.memory", memory)
