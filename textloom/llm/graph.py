@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from textloom.llm import maps
 from textloom.llm._common import materialize, pieces
-from textloom.llm.maps import bit_map, joined
+from textloom.llm.maps import hot_map, joined
 
 #: Nodes, and bytes of their values, of one root that a task compares at once; more are dealt to pairs of blocks.
-MOST, MOST_BYTES = 1 << 12, 1 << 23
+MOST, MOST_BYTES = 1 << 9, 1 << 22
 SALTS = 16
 
 
@@ -49,7 +49,7 @@ def components(edges: DataFrame) -> DataFrame:
         ends = F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("other")), F.struct(F.col("b").alias("node"), F.col("a").alias("other"))))
         best = links.select(ends.alias("e")).select("e.*").groupBy("node").agg(F.min(F.struct(order("other").alias("h"), F.col("other"))).alias("best"), F.count("*").alias("degree"))
         took = materialize(best.select("node", F.when(F.struct(order("node").alias("h"), F.col("node").alias("other")) < F.col("best"), F.col("node")).otherwise(F.col("best.other")).alias("took"), "degree"))
-        hubs = bit_map(took.where(F.col("degree") > maps.HOT_ROWS), "node")
+        hubs = hot_map(took.where(F.col("degree") > maps.HOT_ROWS), "node")
         moved = joined(links, took.select(F.col("node").alias("a"), F.col("took").alias("ta")), ["a"], hubs, "a", F.xxhash64("b"))
         moved = joined(moved, took.select(F.col("node").alias("b"), F.col("took").alias("tb")), ["b"], hubs, "b", F.xxhash64("a"))
         links = materialize(moved.select(F.least("ta", "tb").alias("a"), F.greatest("ta", "tb").alias("b")).where("a <> b").distinct())
@@ -57,11 +57,12 @@ def components(edges: DataFrame) -> DataFrame:
     if not taken:
         return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
-    found = taken[0].select("node", F.col("took").alias("root"))
-    for step in taken[1:]:
-        hubs = bit_map(found.groupBy("root").count().where(F.col("count") > maps.HOT_ROWS), "root")
-        found = joined(found, step.select(F.col("node").alias("root"), F.col("took").alias("_next")), ["root"], hubs, "root", F.xxhash64("node"), "left")
-        found = found.select("node", F.coalesce("_next", "root").alias("root"))
+    # From the last round, which has the fewest nodes, back to the first, which has all.
+    found = taken[-1].select("node", F.col("took").alias("root"))
+    for step in taken[-2::-1]:
+        hubs = hot_map(step.groupBy("took").count().where(F.col("count") > maps.HOT_ROWS), "took")
+        later = found.select(F.col("node").alias("took"), "root")
+        found = joined(step, later, ["took"], hubs, "took", F.xxhash64("node"), "left").select("node", F.coalesce("root", "took").alias("root"))
     return materialize(found)
 
 
@@ -69,7 +70,7 @@ def named(nodes: DataFrame, roots: DataFrame, node: str, least: Column) -> DataF
     """(node, component_id) of all nodes: the minimum of ``least`` over the nodes of one root; nodes without a root are alone."""
     rooted = nodes.join(roots.select(F.col("node").alias(node), "root").hint("merge"), node, "left").select(node, least.alias("least"), F.coalesce("root", node).alias("root"))
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n"))
-    large = bit_map(roots.groupBy("root").count().where(F.col("count") > maps.HOT_ROWS), "root")
+    large = hot_map(roots.groupBy("root").count().where(F.col("count") > maps.HOT_ROWS), "root")
     return joined(rooted.select(node, "root"), names.select("root", "component_id"), ["root"], large, "root", F.xxhash64(node)).select(node, "component_id")
 
 

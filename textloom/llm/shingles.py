@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from textloom.llm._common import materialize, pieces, small_batches, text_or_empty
 from textloom.llm.graph import components, named, within
-from textloom.llm.maps import bit_map, maybe_in
+from textloom.llm.maps import hot_map, in_hot
 from textloom.llm.simhash import DISTANCE, SEED, fingerprint_of, hashes, links, with_names
 
 #: At similarity 0.8 a pair shares no band of six values once in 190,000 times.
@@ -112,10 +112,10 @@ def banded(classes: DataFrame) -> DataFrame:
     """
     posted = classes.select("fp", F.explode("bands").alias("k"))
     star = lambda rows, *by: rows.select(F.first("fp").over(Window.partitionBy(*by).orderBy("fp")).alias("a"), F.col("fp").alias("b")).where("a <> b")
-    hot = bit_map(posted.where(F.pmod(F.xxhash64("fp"), F.lit(SAMPLED)) == 0).groupBy("k").count().where(F.col("count") > HOT_ROWS), "k")
+    hot = hot_map(posted.where(F.pmod(F.xxhash64("fp"), F.lit(SAMPLED)) == 0).groupBy("k").count().where(F.col("count") > HOT_ROWS), "k")
     if not hot.any():
         return star(posted, "k")
-    salt = F.when(maybe_in(classes.sparkSession, hot)("k"), F.pmod(F.xxhash64("fp"), F.lit(SALTS))).otherwise(-1)
+    salt = F.when(in_hot(hot, "k"), F.pmod(F.xxhash64("fp"), F.lit(SALTS))).otherwise(-1)
     salted = posted.withColumn("salt", salt)
     firsts = salted.where("salt >= 0").groupBy("k", "salt").agg(F.min("fp").alias("fp"))
     return star(salted, "k", "salt").unionByName(star(firsts, "k"))

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from textloom.llm import maps
 from textloom.llm._common import large_batches, materialize, pieces, small_batches, text_or_empty
 from textloom.llm.graph import components, named
-from textloom.llm.maps import bit_map, joined
+from textloom.llm.maps import hot_map, joined
 
 SEED = 42
 SHINGLE = 3
@@ -254,7 +254,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shin
 
 def with_names(marked: DataFrame, names: DataFrame) -> DataFrame:
     """The rows and the component_id of their fp, which very many copies may share."""
-    often = bit_map(marked.groupBy("fp").count().where(F.col("count") > maps.HOT_ROWS), "fp")
+    often = hot_map(marked.groupBy("fp").count().where(F.col("count") > maps.HOT_ROWS), "fp")
     return joined(marked, names, ["fp"], often, "fp", F.xxhash64("id"))
 
 
