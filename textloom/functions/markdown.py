@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import html
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from textloom.functions.text import col, cut, strip
+from textloom.functions.text import col, cut, let, strip
 
 # Fixed values.
 TABLE_LINE = r"[^\S\n]*(?:\||</?(?:table|thead|tbody|tfoot|tr|th|td|caption)\b)"
@@ -88,6 +92,11 @@ def prose_chars(c: str | Column) -> Column:
     return F.aggregate(prose, F.lit(0), lambda n, s: n + F.char_length(s))
 
 
+def table_chars(c: str | Column) -> Column:
+    """Characters of tables, which are kept as they are."""
+    return F.aggregate(F.filter(segments(c), is_table), F.lit(0), lambda n, s: n + F.char_length(s))
+
+
 def strip_tables(c: str | Column) -> Column:
     kept = F.transform(F.filter(segments(c), lambda s: ~is_table(s)), strip)
     return F.array_join(F.filter(kept, lambda s: s != ""), "\n\n")
@@ -157,19 +166,28 @@ def chunk_context(previous: Column, chunk: Column, limit: int = CONTEXT_CHARS) -
 def condense(c: str | Column, limit: int | Column) -> Column:
     """Fit a long article into a limit: the lead, then an equal share for the opening of each section."""
     text, limit = col(c), limit if isinstance(limit, Column) else F.lit(limit)
-    parts = F.split(text, r"\n(?=## )", -1)
-    led = ~F.startswith(F.get(parts, 0), F.lit("## ")) & (strip(F.get(parts, 0)) != "")
-    lead = F.when(led, cut(strip(F.get(parts, 0)), F.greatest(F.floor(limit * 0.4).cast("int"), F.lit(600)))).otherwise(F.lit(""))
-    rest = F.filter(F.transform(F.when(led, F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))).otherwise(parts), strip), lambda s: s != "")
-    share = F.floor((limit - F.char_length(lead)) / F.greatest(F.size(rest), F.lit(1))).cast("int")
 
-    def opening(s: Column) -> Column:
-        head = F.substring_index(s, "\n", 1)
-        tail = cut(strip(F.substring(s, F.char_length(head) + 2, F.char_length(s))), share - F.char_length(head) - 2)
-        return F.when(tail != "", F.concat(head, F.lit("\n\n"), tail)).otherwise(head)
+    def opening(s: Column, share: Column) -> Column:
+        def shown(x: Column) -> Column:
+            tail = cut(strip(F.substring(x["s"], F.char_length(x["head"]) + 2, F.char_length(x["s"]))), x["share"] - F.char_length(x["head"]) - 2)
+            return let(F.struct(x["head"].alias("head"), tail.alias("tail")), lambda y: F.when(y["tail"] != "", F.concat(y["head"], F.lit("\n\n"), y["tail"])).otherwise(y["head"]))
+
+        return let(F.struct(s.alias("s"), F.substring_index(s, "\n", 1).alias("head"), share.alias("share")), shown)
+
+    def joined(s: Column) -> Column:
+        share = F.floor((s["limit"] - F.char_length(s["lead"])) / F.greatest(F.size(s["rest"]), F.lit(1))).cast("int")
+        parts = let(F.struct(s["rest"].alias("rest"), share.alias("share")), lambda x: F.transform(x["rest"], lambda y: opening(y, x["share"])))
+        return cut(F.array_join(F.filter(F.concat(F.array(s["lead"]), parts), lambda y: y != ""), "\n\n"), s["limit"])
+
+    def split(s: Column) -> Column:
+        first = strip(F.get(s["parts"], 0))
+        led = ~F.startswith(F.get(s["parts"], 0), F.lit("## ")) & (first != "")
+        lead = F.when(led, cut(first, F.greatest(F.floor(s["limit"] * 0.4).cast("int"), F.lit(600)))).otherwise(F.lit(""))
+        rest = F.when(led, F.slice(s["parts"], F.lit(2), F.greatest(F.size(s["parts"]) - 1, F.lit(0)))).otherwise(s["parts"])
+        rest = F.filter(F.transform(rest, strip), lambda x: x != "")
+        return let(F.struct(lead.alias("lead"), rest.alias("rest"), s["limit"].alias("limit")), joined)
 
-    joined = F.array_join(F.filter(F.concat(F.array(lead), F.transform(rest, opening)), lambda s: s != ""), "\n\n")
-    return F.when(F.char_length(text) <= limit, text).otherwise(cut(joined, limit))
+    return F.when(F.char_length(text) <= limit, text).otherwise(let(F.struct(F.split(text, r"\n(?=## )", -1).alias("parts"), limit.alias("limit")), split))
 
 
 def pack_input(box: str | Column, text: str | Column, limit: int = 12000, box_limit: int = 1500, drop_tables: bool = True) -> Column:
@@ -194,21 +212,10 @@ def clean_noise(c: str | Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, r"(?m)^[-*]\s*$\n?", ""), r"\n{3,}", "\n\n")
 
 
-# Named references that text commonly holds.
-REFERENCES = {
-    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "copy": "©", "reg": "®", "middot": "·", "hellip": "…", "ndash": "–", "mdash": "—",
-    "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "times": "×", "deg": "°", "eacute": "é", "bull": "•", "trade": "™",
-}
-
-
-def unescape(c: str | Column) -> Column:
-    """Character references: these names and the decimal ones of ASCII; the ampersand last."""
-    text = col(c)
-    for name, to in REFERENCES.items():
-        text = F.replace(text, F.lit(f"&{name};"), F.lit(to))
-    for code in (34, 39, 60, 62, 160):
-        text = F.replace(text, F.lit(f"&#{code};"), F.lit(chr(code)))
-    return F.replace(F.replace(text, F.lit("&#38;"), F.lit("&")), F.lit("&amp;"), F.lit("&"))
+@F.pandas_udf(StringType())
+def unescape(text: pd.Series) -> pd.Series:
+    """All character references of HTML, named and by number. The table of names is Python's own, so this runs on Arrow batches."""
+    return text.map(lambda t: html.unescape(t) if t and "&" in t else t)
 
 
 def strip_boilerplate(c: str | Column, names: tuple[str, ...] = BOILERPLATE) -> Column:
@@ -270,6 +277,18 @@ def truncate(c: str | Column, limit: int) -> Column:
     return F.when(F.char_length(text) <= limit, text).otherwise(F.concat(F.substring(text, 1, limit), note))
 
 
+# What a model puts around an answer.
+FENCE = r"(?s)\A\s*```(?:markdown|md)?\s*\n(.*)\n```\s*\z"
+ANNOUNCEMENT = r"(?i)\A\s*(?:here(?:'s| is)|sure[,!]?|certainly[,!]?)[^\n]*(?:paraphras|rewrit|reword)[^\n]*\n+"
+
+
+def clean_response(c: str | Column) -> Column:
+    """A model's text without the fence around it and the line that announces it."""
+    text = strip(c)
+    inner = F.when(text.rlike(FENCE), strip(F.regexp_extract(text, FENCE, 1))).otherwise(text)
+    return strip(F.regexp_replace(inner, ANNOUNCEMENT, ""))
+
+
 def restore_heading(source: Column, out: Column) -> Column:
     """Puts back the heading that a chunk opened on: instead of a reworded one of its level, else before."""
     head, first = strip(F.substring_index(F.ltrim(source), "\n", 1)), strip(F.substring_index(F.regexp_replace(out, r"\A\s+", ""), "\n", 1))

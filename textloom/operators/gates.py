@@ -133,7 +133,7 @@ def rewrite_reason(out: str | Column, packed: str | Column, title: str | Column,
     """Why a rewrite is not kept."""
     out, packed = col(out), col(packed)
     ratio = F.char_length(out) / F.greatest(F.char_length(packed), F.lit(1))
-    said = F.concat(F.lit("length ratio "), F.format_string("%.2f", F.bround(ratio, 2)))
+    said = F.concat(F.lit("length ratio "), T.two_decimals(ratio))
     checks = [(F.coalesce(out, F.lit("")) == "", "empty response"), (out.rlike(f"(?i){REFUSAL}"), "refusal")]
     if finish is not None:
         checks.append((finish == "length", "truncated"))
@@ -179,8 +179,9 @@ def strip_citations(answer: str | Column) -> Column:
     return T.strip(F.regexp_replace(col(answer), TRAILING_SOURCES, ""))
 
 
-def answer_reason(answer: str | Column, tool_calls: Column | int, allow_untooled: bool = False, leaks: tuple[str, ...] = LEAKS) -> Column:
-    """Why an answer is not kept."""
+def answer_reason(answer: str | Column, tool_calls: Column | int, allow_untooled: bool = False, leaks: tuple[str, ...] = LEAKS, sites: tuple[str, ...] = ()) -> Column:
+    """Why an answer is not kept. sites: names of the corpus's own site, which an answer must not mention either."""
+    leaks = (*[rf"\b{re.escape(s)}\b" for s in sites], *leaks)
     answer, calls = F.coalesce(col(answer), F.lit("")), tool_calls if isinstance(tool_calls, Column) else F.lit(tool_calls)
     leak = F.regexp_extract(answer, "(?im)" + "|".join(leaks), 0)
     return first_reason(

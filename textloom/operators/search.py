@@ -9,7 +9,7 @@ from textloom.functions.markdown import extract_section, truncate
 from textloom.functions.text import ascii_lower, col, normalize_title, strip
 
 TOKEN_BONUS = 30
-MAX_HITS, SNIPPET_CHARS, NEAR_NAMES, ARTICLE_CHARS = 20, 400, 8, 14_000
+SNIPPET_CHARS, NEAR_NAMES, ARTICLE_CHARS = 400, 8, 14_000
 
 
 def match_count(text: str | Column, needle: str, regex: bool = False) -> Column:
@@ -22,8 +22,26 @@ def match_count(text: str | Column, needle: str, regex: bool = False) -> Column:
         return F.regexp_count(text, F.lit(f"(?i){needle}")).cast("long")
     if not needle:
         return F.lit(0).cast("long")
-    folded = ascii_lower(text)
-    return F.floor((F.char_length(folded) - F.char_length(F.replace(folded, F.lit(needle.lower()), F.lit("")))) / len(needle.lower())).cast("long")
+    folded, sought = _folded(text, needle)
+    return F.floor((F.octet_length(folded) - F.octet_length(F.replace(folded, F.lit(sought), F.lit("")))) / len(sought.encode())).cast("long")
+
+
+def _folded(text: Column, needle: str) -> tuple[Column, str]:
+    """Text and needle in which capital ASCII letters are small.
+
+    Small letters of all scripts are the faster function. For an ASCII needle it finds the same, once the two
+    other characters whose small letters are ASCII are out of the way.
+    """
+    if not needle.isascii():
+        return ascii_lower(text), "".join(c.lower() if c.isascii() else c for c in needle)
+    return F.lower(F.replace(F.replace(text, F.lit("\u212a"), F.lit("\u0001")), F.lit("\u0130"), F.lit("\u0001"))), needle.lower()
+
+
+def has_match(text: str | Column, needle: str, regex: bool = False) -> Column:
+    if regex:
+        return col(text).rlike(f"(?i){needle}")
+    folded, sought = _folded(col(text), needle)
+    return F.contains(folded, F.lit(sought)) & F.lit(bool(needle))
 
 
 def first_hit(text: str | Column, needle: str, regex: bool = False, limit: int = SNIPPET_CHARS) -> Column:
@@ -39,7 +57,10 @@ def count_matches(docs: DataFrame, needle: str, text: str = "text", regex: bool
 
     The cap is a flag on the exact total, never a limit of the work.
     """
-    found = docs.withColumn("hits", match_count(text, needle, regex)).where("hits > 0")
+    # The filter is another expression than the count, so that the count is not computed twice.
+    found = docs.where(has_match(text, needle, regex)).withColumn("hits", match_count(text, needle, regex))
+    if regex:
+        found = found.where("hits > 0")
     return found if cap is None else found.withColumn("capped", F.sum("hits").over(Window.partitionBy(F.lit(0))) > cap)
 
 
@@ -50,8 +71,8 @@ def search_text(docs: DataFrame, query: str, key: str | Column, ties: str, text:
     tokens = [t for t in "".join(c if c.isascii() and c.isalnum() else " " for c in query.lower().replace("_", " ")).split()]
     name = normalize_title(key)
     bonus = sum(((F.when(F.contains(F.col("key"), F.lit(t)), TOKEN_BONUS).otherwise(0)) for t in tokens), F.lit(0))
-    counted = docs.select(ties, name.alias("key"), text, match_count(text, query, regex).alias("hits")).where("hits > 0")
-    top = counted.withColumn("score", (F.col("hits") + bonus).cast("long")).orderBy(F.desc("score"), F.char_length("key"), "key", ties).limit(min(limit, MAX_HITS))
+    counted = docs.where(has_match(text, query, regex)).select(ties, name.alias("key"), text, match_count(text, query, regex).alias("hits"))
+    top = counted.withColumn("score", (F.col("hits") + bonus).cast("long")).orderBy(F.desc("score"), F.char_length("key"), "key", ties).limit(limit)
     return top.select(ties, "key", "hits", "score", first_hit(text, query, regex).alias("snippet"))
 
 

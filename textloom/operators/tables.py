@@ -38,7 +38,9 @@ def outstanding(inputs: DataFrame, done: DataFrame, key: str | list[str], failur
 
 
 def work_list(articles: DataFrame, views: DataFrame, done: DataFrame, article: str = "doc_id", view: str = "view") -> DataFrame:
-    """Articles times views (a handful of configured rows) that have no output yet."""
+    """Articles times views that have no output yet. Views are configured rows: more than a thousand are an error."""
+    if views.limit(1001).count() > 1000:
+        raise ValueError("more than a thousand views")
     return articles.join(F.broadcast(views), how="inner", on=F.lit(True)).join(done, [article, view], "left_anti")
 
 
@@ -59,39 +61,56 @@ def answered(questions: DataFrame, answers: DataFrame, q: str = "q") -> DataFram
     return questions.withColumn("_key", T.dedup_key(q)).join(keys, "_key", "left").withColumn("answered", F.coalesce("answered", F.lit(False))).drop("_key")
 
 
+#: Spans up to which their hashes are sent to all executors; beyond, runs of words are shuffled to them.
+FEW_SPANS = 200_000
+
+
 def evidence_pairs(items: DataFrame, passages: DataFrame, item: str, span: str, passage: str, words: int = 6, key: str | None = None) -> DataFrame:
-    """Items whose span occurs in a passage, character for character: (item, passage key).
+    """Items whose span occurs in a passage, character for character: (item, passage key), as a join on containment gives.
 
-    Spans are found by their longest run of inner words, hashed, among the same runs of the passages;
-    containment is then tested on the pairs. Spans of fewer words are compared with all passages in blocks.
+    Words at the ends of a span may be parts of longer ones in the passage, so a span is found by its inner
+    words: by the hash of the first ``words`` of them, of all if they are fewer, among the same runs of the
+    passages. Containment is then tested. Spans without an inner word (two words at most, blank ones too)
+    are tested against all passages. Null and repeated keys and items are rows like others; a null span or
+    passage has no pair.
     """
     key = key or passages.columns[0]
     runs = lambda c: F.filter(F.split(c, r"\s+", -1), lambda w: w != "")
-    grams = lambda w: F.transform(F.sequence(F.lit(0), F.size(w) - words), lambda i: F.xxhash64(F.array_join(F.slice(w, i + 1, words), " ")))
-    spans = items.select(F.col(item), F.col(span).alias("_span"), runs(F.col(span)).alias("_w"))
-    # Words at the ends of a span may be parts of longer ones in the passage.
-    long = spans.where(F.size("_w") >= words + 2).withColumn("_h", F.xxhash64(F.array_join(F.slice("_w", 2, words), " "))).select(item, "_span", "_h")
-    short = spans.where((F.size("_w") < words + 2) & (F.size("_w") > 0)).select(item, "_span")
-    texts = passages.select(F.col(key), F.col(passage).alias("_text"))
-    places = texts.withColumn("_w", runs(F.col("_text"))).where(F.size("_w") >= words).select(key, F.explode(F.array_distinct(grams(F.col("_w")))).alias("_h"))
-    found = places.join(long, "_h").select(item, "_span", key).distinct().join(texts, key).where(F.contains("_text", F.col("_span"))).select(item, key)
-    return found.unionByName(texts.join(short, F.contains(F.col("_text"), F.col("_span"))).select(item, key))
-
-
-def owner_of(offsets: DataFrame, starts: DataFrame, at: str = "at", start: str = "start") -> DataFrame:
+    spans = items.where(F.col(span).isNotNull()).select(F.col(item).alias("_item"), F.col(span).alias("_span"), F.xxhash64(span).alias("_s"))
+    texts = passages.where(F.col(passage).isNotNull()).select(F.col(key).alias("_key"), F.col(passage).alias("_text"), F.xxhash64(key, passage).alias("_t"))
+    known = spans.select("_s", "_span").dropDuplicates(["_s"]).withColumn("_w", runs(F.col("_span"))).withColumn("_n", F.least(F.lit(words), F.size("_w") - 2))
+    hashed = known.where("_n > 0").select("_s", F.xxhash64("_n", F.array_join(F.slice("_w", F.lit(2), F.col("_n")), " ")).alias("_h"), "_n")
+    counts = {r["_n"]: r["count"] for r in hashed.groupBy("_n").count().collect()}  # one row for each length
+    lengths = F.array(*map(F.lit, sorted(counts))) if counts else F.array().cast("array<int>")
+    w = F.col("_w")
+    places = F.flatten(F.transform(F.filter(lengths, lambda n: n <= F.size(w)), lambda n: F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.xxhash64(n, F.array_join(F.slice(w, i, n), " ")))))
+    found = texts.select("_t", runs(F.col("_text")).alias("_w")).select("_t", F.explode(F.array_distinct(places)).alias("_h"))
+    small = sum(counts.values()) <= FEW_SPANS
+    pairs = found.join(F.broadcast(hashed) if small else hashed, "_h").select("_s", "_t").distinct()
+    met = pairs.join(spans, "_s").join(texts, "_t").where(F.contains("_text", F.col("_span")))
+    short = spans.join(known.where("_n <= 0").select("_s"), "_s", "left_semi")
+    rest = texts.join(short, F.contains(F.col("_text"), F.col("_span")))
+    return met.select("_item", "_key").unionByName(rest.select("_item", "_key")).toDF(item, key)
+
+
+def owner_of(offsets: DataFrame, starts: DataFrame, at: str = "at", start: str = "start", ranges: int | None = None) -> DataFrame:
     """Each offset with the row of the greatest start at or before it (an as-of join); offsets before all starts go.
 
-    Both tables are laid in one line and cut into equal ranges, searched on their own; each range is
-    handed the last start of those before it, one row a range.
+    Both tables are laid in one line and cut at quantiles of both, so ranges hold equal numbers of rows;
+    each is searched on its own and handed the last start of those before it, one row a range.
     """
+    ranges = ranges or 4 * int(offsets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     line = offsets.select(F.col(at).alias("_x"), F.lit(1).alias("_kind"), F.struct(*offsets.columns).alias("_row"), F.lit(None).cast(starts.schema.simpleString()).alias("_own"))
     line = line.unionByName(starts.select(F.col(start).alias("_x"), F.lit(0).alias("_kind"), F.lit(None).cast(offsets.schema.simpleString()).alias("_row"), F.struct(*starts.columns).alias("_own")))
-    ranged = line.withColumn("_range", F.floor(F.col("_x") / F.lit(1 << 20)))
+    places = offsets.select(F.col(at).alias("_x")).unionByName(starts.select(F.col(start).alias("_x")))
+    cuts = places.agg(F.percentile_approx("_x", [k / ranges for k in range(1, ranges)], 10_000)).first()[0] or []
+    bounds = F.array(*map(F.lit, sorted(set(cuts)))) if cuts else F.array().cast("array<long>")
+    ranged = line.withColumn("_range", F.size(F.filter(bounds, lambda b: b <= F.col("_x"))))
     last = ranged.groupBy("_range").agg(F.max_by("_own", F.when(F.col("_kind") == 0, F.col("_x"))).alias("_last"))
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # at most as many rows as ranges
     carried = last.select("_range", F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
     inside = Window.partitionBy("_range").orderBy("_x", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = ranged.withColumn("_here", F.last("_own", ignorenulls=True).over(inside)).where("_kind = 1").join(carried, "_range")
+    placed = ranged.withColumn("_here", F.last("_own", ignorenulls=True).over(inside)).where("_kind = 1").join(F.broadcast(carried), "_range")
     return placed.withColumn("_owner", F.coalesce("_here", "_carried")).where("_owner is not null").select("_row.*", "_owner.*")
 
 

@@ -87,12 +87,14 @@ def search_match_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register(
-    f"""with k as (select p_partkey, p_name, {_KEY.format('p_name')} as key from part)
-    select p_partkey, p_name, key, case when key = 'part 1' then 100 when starts_with(key, 'part 1 ') then 80 when contains(key, 'part 1') then 60 else 40 end::int as score
-    from k where contains(key, 'part') and contains(key, '1') order by score desc, length(key), p_partkey limit 40"""
+    f"""with k as (select p_partkey, p_name, {_KEY.format("concat(p_name, case when p_partkey % 3 = 0 then ' No_' || p_partkey % 7 else '' end)")} as key from part)
+    select p_partkey, p_name, key, case when key = 'small ring' then 100 when starts_with(key, 'small ring ') then 80 when contains(key, 'small ring') then 60 else 40 end::int as score
+    from k where contains(key, 'small') and contains(key, 'ring') order by score desc, length(key), p_partkey limit 40"""
 )
 def search_titles_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.search_titles(table(spark, sf_dir, "part"), "Part_1", "p_name", "p_partkey", 40)
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", F.concat("p_name", F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit(" No_"), (F.col("p_partkey") % 7).cast("string"))).otherwise("")).alias("title"))
+    found = S.search_titles(parts, "Small_Ring", "title", "p_partkey", 40)
+    return found.join(parts.select("p_partkey", "p_name"), "p_partkey").select("p_partkey", "p_name", "key", "score")
 
 
 @register(
@@ -117,11 +119,19 @@ def split_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", T.hash_share(path).alias("share"), T.assign_split(path).alias("split"))
 
 
-@register("select 0::bigint as shared")
+_EVAL = "concat('0x', substr(sha1(concat(source, '/', doc_id % 400)), 1, 8))::bigint / 4294967296.0 < 0.1"
+
+
+@register(
+    f"""select source, count(*) filter ({_EVAL})::bigint as eval, count(*) filter (not {_EVAL})::bigint as train,
+      count(distinct doc_id % 400) filter ({_EVAL})::bigint + count(distinct doc_id % 400) filter (not {_EVAL})::bigint - count(distinct doc_id % 400)::bigint as shared from documents group by source"""
+)
 def split_disjoint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = F.concat_ws("/", "source", F.col("doc_id").cast("string"))
-    docs = table(spark, sf_dir, "documents").select(path.alias("path"), T.assign_split(path, 0.1).alias("split"))
-    return docs.groupBy("path").agg(F.countDistinct("split").alias("n")).agg(F.count_if(F.col("n") > 1).alias("shared"))
+    """Rows of several articles (many rows have one path): sizes of both splits, and paths that are in both."""
+    path = F.concat_ws("/", "source", (F.col("doc_id") % 400).cast("string"))
+    docs = table(spark, sf_dir, "documents").select("source", path.alias("path"), T.assign_split(path, 0.1).alias("split"))
+    both = docs.groupBy("source", "path").agg(F.count_if(F.col("split") == "eval").alias("e"), F.count_if(F.col("split") == "train").alias("t"))
+    return both.groupBy("source").agg(F.sum("e").alias("eval"), F.sum("t").alias("train"), F.count_if((F.col("e") > 0) & (F.col("t") > 0)).alias("shared"))
 
 
 @register(f"select min(doc_id) as doc_id, array_to_string({_WORDS.format('any_value(text)')}, ' ') as key, count(*)::bigint as copies from documents group by array_to_string({_WORDS.format('text')}, ' ')")
@@ -160,20 +170,11 @@ def jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.join(b, "conv_id").where("a < b").select("conv_id", "a", "b", F.round(T.jaccard(F.col("x"), F.col("y")), 6).alias("likeness"))
 
 
-_MATCH = _STRIP.format("regexp_replace(lower(replace(replace(substr(text, 1, 200), '*', ''), '_', ' ')), '\\s+', ' ', 'g')")
-
-
-@register(f"select doc_id, {_KEY.format('substr(text, 1, 200)')} as title_key, {_MATCH} as match_key from documents")
-def normalizers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    head = F.substring("text", 1, 200)
-    return table(spark, sf_dir, "documents").select("doc_id", T.normalize_title(head).alias("title_key"), T.normalize_match(head).alias("match_key"))
-
-
 _WHOLE_MATCH = _STRIP.format("regexp_replace(lower(replace(replace(text, '*', ''), '_', ' ')), '\\s+', ' ', 'g')")
 
 
 @register(f"select doc_id, md5({_KEY.format('text')}) as title_key, md5({_WHOLE_MATCH}) as match_key from documents")
-def normalizers_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+def normalizers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts; as digests, since the keys are as long as the texts."""
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(T.normalize_title("text")).alias("title_key"), F.md5(T.normalize_match("text")).alias("match_key"))
 
@@ -247,14 +248,25 @@ def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.select("*", F.lag("role").over(w).alias("before"), F.lag("text").over(w).alias("asked")).where("role = 'assistant' and before = 'user'")
 
 
+_DATES = r"list_distinct(list_transform(regexp_extract_all({0}, '\d[\d,]*(?:\.\d+)?\s*(?:BBY|ABY)'), lambda x: lower(regexp_replace(x, '[,\s]', '', 'g'))))"
+_MADE_UP = f"list_sort(list_filter({_DATES.format('made')}, lambda d: not list_contains({_DATES.format('packed')}, d)))"
+
+
 @register(
-    f"""select conv_id, turn, coalesce(case when text = '' then 'empty response' when regexp_matches(text, '(?i)^\\s*(?:i (?:can''?t|cannot|won''?t|am unable)|as an ai|i''m sorry)') then 'refusal'
-      when length(text) < 40 then concat('too short (', length(text), ' chars)') when length(text) / greatest(length(asked), 1) > 1.5 then concat('length ratio ', printf('%.2f', length(text) / greatest(length(asked), 1)))
-      when regexp_matches(text, '(?i)\\bas an ai\\b') then concat('meta-talk: ''', regexp_extract(text, '(?i)\\bas an ai\\b'), '''') end, 'keep') as reason from {_TURNS} where role = 'assistant' and before = 'user'"""
+    f"""select conv_id, turn, coalesce(case when made = '' then 'empty response' when regexp_matches(made, '(?i)^\\s*(?:i (?:can''?t|cannot|won''?t|am unable)|as an ai|i''m sorry)') then 'refusal'
+      when length(made) < 40 then concat('too short (', length(made), ' chars)') when length(made) / greatest(length(packed), 1) > 1.5 then concat('length ratio ', printf('%.2f', length(made) / greatest(length(packed), 1)))
+      when length(title) > 3 and not contains(lower(made), lower(title)) then 'subject missing'
+      when regexp_matches(made, '(?i)\\bas an ai\\b') then concat('meta-talk: ''', regexp_extract(made, '(?i)\\bas an ai\\b'), '''') when len({_MADE_UP}) > 0 then concat('date not in source: ', {_MADE_UP}[1]) end, 'keep') as reason
+      from (select *, concat(text, case when conv_id % 3 > 0 then concat(' In ', conv_id % 9, ' BBY.') else '' end) as made, concat(asked, ' ', turn, ' BBY') as packed, regexp_extract(asked, '[A-Za-z0-9]+', 0) as title
+        from {_TURNS} where role = 'assistant' and before = 'user')"""
 )
 def rewrite_gate_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    view = G.View("turns", min_out_chars=40, require_title=False, check_dates=False, forbid=(r"\bas an ai\b",))
-    return _answers(spark, sf_dir).select("conv_id", "turn", F.coalesce(G.rewrite_reason("text", "asked", "role", view), F.lit("keep")).alias("reason"))
+    """Each answer as a rewrite of what was asked, with a date added to both; the title is the first word asked."""
+    view = G.View("turns", min_out_chars=40, forbid=(r"\bas an ai\b",))
+    made = F.concat("text", F.when(F.col("conv_id") % 3 > 0, F.concat(F.lit(" In "), (F.col("conv_id") % 9).cast("string"), F.lit(" BBY."))).otherwise(""))
+    packed = F.concat("asked", F.lit(" "), F.col("turn").cast("string"), F.lit(" BBY"))
+    turns = _answers(spark, sf_dir).withColumns({"made": made, "packed": packed, "title": F.regexp_extract("asked", "[A-Za-z0-9]+", 0)})
+    return turns.select("conv_id", "turn", F.coalesce(G.rewrite_reason("made", "packed", "title", view), F.lit("keep")).alias("reason"))
 
 
 @register(
@@ -506,19 +518,15 @@ def links_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register(
-    """with recursive s as (select source, doc_id, text, row_number() over (partition by source order by doc_id) as i from documents),
-    r as (select source, i, 0 as chunk, length(text) + 2 as size, doc_id from s where i = 1 union all
-      select s.source, s.i, case when r.size + length(s.text) > 6000 then r.chunk + 1 else r.chunk end, case when r.size + length(s.text) > 6000 then 0 else r.size end + length(s.text) + 2, s.doc_id from r join s on s.source = r.source and s.i = r.i + 1)
-    select source, chunk::int as chunk, count(*)::bigint as paragraphs, sum(length(text))::bigint + 2 * (count(*) - 1) as chars from r join documents using (source, doc_id) group by source, chunk"""
+    """with recursive s as (select doc_id, unnest(p) as t, generate_subscripts(p, 1) as i from (select doc_id, string_split(replace(text, chr(10), chr(10) || chr(10)), chr(10) || chr(10)) as p from documents)),
+    r as (select doc_id, i, 0 as chunk, length(t) + 2 as size from s where i = 1 union all
+      select s.doc_id, s.i, case when r.size + length(s.t) > 1500 then r.chunk + 1 else r.chunk end, case when r.size + length(s.t) > 1500 then 0 else r.size end + length(s.t) + 2 from r join s on s.doc_id = r.doc_id and s.i = r.i + 1)
+    select doc_id, chunk::int as chunk, count(*)::bigint as paragraphs, sum(length(t))::bigint + 2 * (count(*) - 1) as chars from r join s using (doc_id, i) group by doc_id, chunk"""
 )
 def chunk_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each source's documents as the paragraphs of one long section."""
-    docs = table(spark, sf_dir, "documents")
-    # A source's length stands for an article's here; an article is one row by nature.
-    parts = F.transform(F.array_sort(F.collect_list(F.struct("doc_id", F.regexp_replace("text", "\n\n", "\n").alias("t")))), lambda x: x["t"])
-    long = docs.groupBy("source").agg(F.array_join(parts, "\n\n").alias("article"))
-    found = long.select("source", F.posexplode(M.pack_paragraphs(F.col("article"), M.CHUNK_CHARS)).alias("chunk", "t"))
-    return found.select("source", "chunk", F.size(F.split("t", "\n\n", -1)).cast("long").alias("paragraphs"), F.char_length("t").cast("long").alias("chars"))
+    """Each document's lines as the paragraphs of one section."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(M.pack_paragraphs(F.replace("text", F.lit("\n"), F.lit("\n\n")), 1500)).alias("chunk", "t"))
+    return docs.select("doc_id", "chunk", F.size(F.split("t", "\n\n", -1)).cast("long").alias("paragraphs"), F.char_length("t").cast("long").alias("chars"))
 
 
 @register(None)
@@ -539,3 +547,6 @@ def condense_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(None)
 def empty_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pages_md(spark, sf_dir).select("page_id", M.strip_empty_sections("md").alias("body"))
+
+
+from textloom import queries_articles, queries_questions  # noqa: E402, F401  (they register their queries here)

@@ -22,9 +22,12 @@ def write_shards(rows: DataFrame, folder: str, name: str, order: str, budget: in
     Shards are found first; rows are then dealt by shard and written by Spark's committer, one file each.
     """
     spark = rows.sparkSession
-    shards = greedy_shards(rows.withColumn("_all", F.lit(name)), "_all", order, row_bytes(rows), budget).select(order, "shard")
-    placed = rows.join(shards, order)
-    n = (shards.agg(F.max("shard")).first()[0] or 0) + 1 if not rows.isEmpty() else 0
+    # A row is known by its order and its content, never by the order alone, which may be null or repeated; equal rows share a shard.
+    keyed = rows.withColumn("_row", F.xxhash64(F.to_json(F.struct(*rows.columns)))).withColumn("_all", F.lit(name)).withColumn("_order", F.struct(F.col(order), F.col("_row")))
+    light = keyed.groupBy("_all", "_order").agg(F.sum(row_bytes(rows)).alias("_bytes"))
+    shards = greedy_shards(light, "_all", "_order", "_bytes", budget).select("_order", "shard")
+    placed = keyed.join(shards.select(F.col("_order")[order].alias("_o"), F.col("_order")["_row"].alias("_r"), "shard"), F.col(order).eqNullSafe(F.col("_o")) & (F.col("_row") == F.col("_r"))).select(*rows.columns, "shard")
+    n = shards.agg(F.max("shard") + 1).first()[0] or 0
     made = f"{folder}/.{name}"
     out = placed.repartition(max(n, 1), "shard").sortWithinPartitions("shard", order).write.mode("overwrite").option("compression", "zstd").option("parquet.compression.codec.zstd.level", str(ZSTD_LEVEL))
     out.partitionBy("shard").parquet(made)
