@@ -33,11 +33,6 @@ def hot_map(df: DataFrame, key: str) -> np.ndarray:
     return bit_maps(df, key, F.lit(True), bits=HOT_BITS)[0]
 
 
-def folded(bits: np.ndarray) -> np.ndarray:
-    """A large map as one of HOT_BITS bits."""
-    return np.bitwise_or.reduce(bits.reshape(-1, 1 << (HOT_BITS - 6)), axis=0)
-
-
 def in_hot(bits: np.ndarray, key: str) -> Column:
     """Whether the key may be in a map of HOT_BITS bits; false for all if it is empty."""
     if not bits.any():
