@@ -10,7 +10,7 @@ from textloom.functions import text as T
 from textloom.operators import questions as Q
 from textloom.operators import search as S
 from textloom.operators import tables as B
-from textloom.sources.sinks import write_shards
+from textloom.sources.sinks import build_totals, datasheet, write_shards
 
 
 def test_two_decimals_round_the_binary_value(spark):
@@ -73,3 +73,11 @@ def test_condense_of_many_sections(spark):
     text = "Lead. " * 50 + "".join(f"\n## Part {k}\n\n" + "Sentence here. " * 40 for k in range(60))
     out = spark.createDataFrame([(text,)], "t string").select(M.condense("t", 4000).alias("x")).first().x
     assert len(out) <= 4000 and out.startswith("Lead.") and "## Part 5" in out
+
+
+def test_datasheet_is_made_of_build_statistics():
+    stats = [{"source": "small", "rows": 1, "files": 1, "raw_bytes": 360}, {"source": "large", "rows": 1500, "files": 2, "raw_bytes": 3240}]
+    assert build_totals(stats, 1200) == {"rows": 1501, "tokens": 1000, "raw_bytes": 3600, "disk_bytes": 1200, "ratio": 3.0} and build_totals([], 0)["ratio"] == 0.0
+    made = datasheet(stats, "A set", {"train": {"rows": 200, "files": 1, "raw_bytes": 999, "flagged": 3}, "eval": {"rows": 0, "files": 0, "raw_bytes": 0}}, {"large": "CC"})
+    assert "1,501 documents, about 1.0K tokens." in made and made.index("- large: 1,500 documents, 3.2 kB (90.0%), CC") < made.index("- small: 1 documents, 360 B (10.0%), license unknown")
+    assert "| train | 200 | 1 | 999 B | 3 (1.5%) |" in made and "| eval | 0 | 0 | 0 B | 0 (0.0%) |" in made

@@ -68,6 +68,30 @@ def card(stats: list[dict], title: str) -> str:
     return head + "".join(f"| {s['source']} | {s['rows']:,} | {100 * s['rows'] / max(rows, 1):.1f}% | {s['files']} | {human(s['raw_bytes'])} |\n" for s in stats)
 
 
+def build_totals(stats: list[dict], disk_bytes: int) -> dict:
+    """Rows, tokens, bytes of text and on disk, and how many times smaller the files are."""
+    rows, raw = sum(s["rows"] for s in stats), sum(s["raw_bytes"] for s in stats)
+    return {"rows": rows, "tokens": int(raw / 3.6), "raw_bytes": raw, "disk_bytes": disk_bytes, "ratio": round(raw / disk_bytes, 2) if disk_bytes else 0.0}
+
+
+def datasheet(stats: list[dict], title: str, splits: dict[str, dict] | None = None, licenses: dict[str, str] | None = None) -> str:
+    """What a dataset is made of: sources by size with their licenses, question and answer splits, all counts from build statistics.
+
+    splits: rows, files, raw_bytes and flagged (answers with unsupported terms) of each split.
+    """
+    totals, licenses = build_totals(stats, 0), licenses or {}
+    out = [f"# Datasheet: {title}", "", "## Composition", "", f"{totals['rows']:,} documents, about {compact(totals['tokens'])} tokens.", ""]
+    for s in sorted(stats, key=lambda s: (-s["raw_bytes"], s["source"])):
+        share = 100 * s["raw_bytes"] / max(totals["raw_bytes"], 1)
+        out.append(f"- {s['source']}: {s['rows']:,} documents, {human(s['raw_bytes'])} ({share:.1f}%), {licenses.get(s['source'], 'license unknown')}")
+    if splits:
+        out += ["", "## Questions and answers", "", "| split | rows | files | text | flagged |", "|---|---:|---:|---:|---:|"]
+        for name, s in sorted(splits.items()):
+            flagged = 100 * s.get("flagged", 0) / max(s["rows"], 1)
+            out.append(f"| {name} | {s['rows']:,} | {s['files']} | {human(s['raw_bytes'])} | {s.get('flagged', 0):,} ({flagged:.1f}%) |")
+    return "\n".join(out) + "\n"
+
+
 def check_publishable(folder: str | Path) -> list[str]:
     """Files that would be published; restricted ones stop everything."""
     root = Path(folder)
