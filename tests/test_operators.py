@@ -1,5 +1,8 @@
 import random
+from collections import Counter
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from textloom.functions import text as T
@@ -98,6 +101,40 @@ def test_greedy_shards_forget_what_goes_over(spark):
     assert zero.groupBy("s", "shard").count().where("count > 1").count() == 0
 
 
+@pytest.mark.parametrize("budget", [0, 1, 37, 1000, 10**9])
+def test_greedy_shards_of_one_group_in_many_blocks(spark, budget):
+    """One source holds most rows; sizes are null or nothing, orders and groups null or repeated."""
+    r = random.Random(budget)
+    rows = [(r.choice(["big"] * 8 + ["a", None]), r.choice([None, *range(400)]), r.choice([None, 0, 1, 5, 5, 40, 2000])) for _ in range(1500)]
+    df = spark.createDataFrame(rows, "s string, k long, n long").repartition(5)
+    got = Counter((x.s, x.k, x.bytes, x.shard) for x in H.greedy_shards(df, "s", "k", "n", budget).collect())
+    want, least = Counter(), lambda x: (x is not None, x or 0)
+    for s in {s for s, _, _ in rows}:
+        shard = held = 0
+        for _, k, n in sorted((x for x in rows if x[0] == s), key=lambda x: (least(x[1]), least(x[2]))):
+            want[s, k, n, shard] += 1
+            held += n or 0
+            if held >= budget:
+                shard, held = shard + 1, 0
+    assert got == want
+    assert H.greedy_shards(df.limit(0), "s", "k", "n", budget).count() == 0
+
+
+def test_block_tables_answer_for_every_entry():
+    r = random.Random(3)
+    for budget in (1, 7, 20):
+        sizes = [r.choice([0, 0, 1, 3, 9, 25]) for _ in range(60)]
+        total, need, closed, held = H.block_table(np.array(sizes, np.int64), budget)
+        for entry in range(budget):
+            shards, now = 0, entry
+            for n in sizes:
+                now += n
+                if now >= budget:
+                    shards, now = shards + 1, 0
+            k = next((k for k, least in enumerate(need) if least <= entry), None)
+            assert (shards, now) == ((0, entry + total) if k is None else (closed[k], held[k]))
+
+
 def test_owner_of(spark):
     r = random.Random(2)
     starts = sorted({r.randint(0, 9_000_000) for _ in range(40)})
