@@ -78,13 +78,17 @@ def evidence_pairs(items: DataFrame, passages: DataFrame, item: str, span: str,
     runs = lambda c: F.filter(F.split(c, r"\s+", -1), lambda w: w != "")
     spans = items.where(F.col(span).isNotNull()).select(F.col(item).alias("_item"), F.col(span).alias("_span"), F.xxhash64(span).alias("_s"))
     texts = passages.where(F.col(passage).isNotNull()).select(F.col(key).alias("_key"), F.col(passage).alias("_text"), F.xxhash64(key, passage).alias("_t"))
-    known = spans.select("_s", "_span").dropDuplicates(["_s"]).withColumn("_w", runs(F.col("_span"))).withColumn("_n", F.least(F.lit(words), F.size("_w") - 2))
-    hashed = known.where("_n > 0").select("_s", F.xxhash64("_n", F.array_join(F.slice("_w", F.lit(2), F.col("_n")), " ")).alias("_h"), "_n")
+    # Each word is hashed once; a run's hash is that of its words' hashes.
+    words_of = lambda c: F.transform(runs(c), lambda w: F.xxhash64(w))
+    run = lambda h, i, n: F.xxhash64(*[F.get(h, i + k) for k in range(n)])
+    known = spans.select("_s", "_span").dropDuplicates(["_s"]).withColumn("_w", words_of(F.col("_span"))).withColumn("_n", F.least(F.lit(words), F.size("_w") - 2))
+    by_length = F.coalesce(*[F.when(F.col("_n") == n, run("_w", F.lit(1), n)) for n in range(1, words + 1)])
+    hashed = known.where("_n > 0").select("_s", by_length.alias("_h"), "_n")
     counts = {r["_n"]: r["count"] for r in hashed.groupBy("_n").count().collect()}  # one row for each length
-    lengths = F.array(*map(F.lit, sorted(counts))) if counts else F.array().cast("array<int>")
-    w = F.col("_w")
-    places = F.flatten(F.transform(F.filter(lengths, lambda n: n <= F.size(w)), lambda n: F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.xxhash64(n, F.array_join(F.slice(w, i, n), " ")))))
-    found = texts.select("_t", runs(F.col("_text")).alias("_w")).select("_t", F.explode(F.array_distinct(places)).alias("_h"))
+    w, none = F.col("_w"), F.array().cast("array<long>")
+    placed = lambda n: F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(0), F.size(w) - n), lambda i: run(w, i, n))).otherwise(none)
+    places = F.concat(none, *map(placed, sorted(counts)))
+    found = texts.select("_t", words_of(F.col("_text")).alias("_w")).select("_t", F.explode(F.array_distinct(places)).alias("_h"))
     small = sum(counts.values()) <= FEW_SPANS
     pairs = found.join(F.broadcast(hashed) if small else hashed, "_h").select("_s", "_t").distinct()
     met = pairs.join(spans, "_s").join(texts, "_t").where(F.contains("_text", F.col("_span")))
