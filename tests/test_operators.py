@@ -84,6 +84,20 @@ def test_near_duplicates_compare_with_kept_only(spark):
     assert [r.keep for r in got] == [True, False, True, True, True, True]
 
 
+@pytest.mark.parametrize("threshold", [0.2, 0.6, 0.8, 1.0])
+def test_near_duplicates_against_all_kept(spark, threshold):
+    r = random.Random(7)
+    rows = [(r.choice([1, 1, 1, 2, None]), k, " ".join(r.choice("abcdefgh") for _ in range(r.randint(0, 6)))) for k in range(200)]
+    got = {x.o: x.keep for x in B.near_duplicates(spark.createDataFrame(rows, "g long, o long, t string"), "g", "o", F.filter(F.split("t", " "), lambda w: w != ""), threshold).collect()}
+    kept = []
+    for g, o, t in rows:
+        t = set(t.split())
+        new = not any(g == h and t | k and len(t & k) / len(t | k) >= threshold for h, k in kept)
+        assert got[o] == new
+        if new:
+            kept.append((g, t))
+
+
 def test_greedy_shards_forget_what_goes_over(spark):
     r = random.Random(1)
     rows = [("s" + str(k % 2), k, "x" * r.randint(0, 50)) for k in range(300)]

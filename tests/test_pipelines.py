@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 import pytest
@@ -18,6 +19,20 @@ def test_article_files_keep_hidden_names(spark, tmp_path):
     assert readers.articles(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_folders_below_the_driver_levels_are_listed_in_tasks(spark, tmp_path):
+    names = ["a.md", "b/c.md", "b/d/e/f/g.md", "b/d/e/.h/_i/k.md", "x/y/z/w/manifest.md", "x/y/z/w/v.MD"]
+    for n in names:
+        p = tmp_path / n
+        p.parent.mkdir(parents=True, exist_ok=True)
+        p.write_text(n)
+    want = sorted((n, len(n)) for n in names if "manifest" not in n)
+    assert [tuple(r) for r in readers.list_files(spark, str(tmp_path), (".md",)).collect()] == want
+    assert [tuple(r) for r in readers.list_files(spark, str(tmp_path), (".md",), limit=2).collect()] == want[:2]
+    sums = sinks.write_checksums(spark, tmp_path)
+    assert list(sums) == sorted(names) and all(sums[n] == hashlib.sha256(n.encode()).hexdigest() for n in names)
+    assert sinks.write_checksums(spark, tmp_path) == sums
+
+
 def test_json_lines_and_ledger(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text('{"item": "a", "error": "http 402: x"}\n\n{"item": "b", "error": "timeout"}\n{"item": "c", "er')
     assert [r.item for r in readers.ledger(spark, str(tmp_path / "a.jsonl")).collect()] == ["b"]
@@ -63,7 +78,7 @@ def test_pretrain_build(spark, tmp_path):
     assert stats["rows"] == 30 and stats["files"] == len(files) > 1 and files[0] == f"src-00000-of-{len(files):05d}.parquet"
     ids = [r.doc_id for f in files for r in spark.read.parquet(str(tmp_path / "out" / f)).collect()]
     assert ids == sorted(ids)
-    assert set(files) < set(sinks.write_checksums(tmp_path / "out"))
+    assert set(files) < set(sinks.write_checksums(spark, tmp_path / "out"))
     assert "SHA256SUMS" in sinks.check_publishable(tmp_path / "out")
     (tmp_path / "out" / "restricted").mkdir()
     with pytest.raises(PermissionError):

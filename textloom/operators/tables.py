@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -130,20 +131,27 @@ def first_wins(rows: DataFrame, key: Column, order: list[str]) -> DataFrame:
 def near_duplicates(rows: DataFrame, group: str, order: str, tokens: Column, threshold: float = NEAR_DUPLICATE) -> DataFrame:
     """(group, order, keep): in a group, a row goes if its token set is too like that of one kept before it.
 
-    A group is read in order as a stream; only the sets that were kept are in memory.
+    A group is read in order as a stream; only the sets that were kept are in memory, found again by their
+    first tokens in one fixed order: sets that are alike share one of those. The threshold is over 0.
     """
-    sets = rows.select(F.col(group).alias("g"), F.col(order).alias("o"), tokens.alias("t"))
+    sets = rows.select(F.col(group).alias("g"), F.col(order).alias("o"), F.array_sort(F.array_distinct(tokens)).alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, kept = None, []
+        now, kept, held = None, [], {}
         for b in batches:
             keep = []
-            for g, t in zip(b.column(0).to_pylist(), map(frozenset, b.column(2).to_pylist())):
-                if g != now:
-                    now, kept = g, []
-                new = not any((t | k) and len(t & k) / len(t | k) >= threshold for k in kept)
+            for g, row in zip(b.column(0).to_pylist(), b.column(2).to_pylist()):
+                if now != (g,):
+                    now, kept, held = (g,), [], {}
+                t = frozenset(row)
+                # As many tokens must be shared at least; a little less for what floating point adds.
+                first = row[: len(row) - math.ceil(threshold * len(row) - 1e-9) + 1]
+                like = {k for x in first for k in held.get(x, ())}
+                new = not any(len(t & kept[k]) / len(t | kept[k]) >= threshold for k in like)
                 keep.append(new)
                 if new:
+                    for x in first:
+                        held.setdefault(x, []).append(len(kept))
                     kept.append(t)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(keep)], ["g", "o", "keep"])
 

@@ -16,30 +16,56 @@ from textloom.operators.tables import real_failures
 NOT_DOCUMENTS = ("manifest.md", "manifest.jsonl", "articles.txt", "articles.jsonl", "categories.txt")
 
 
-def _file_system(uri: str) -> tuple[pafs.FileSystem, str]:
+def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri if ":/" in uri else f"file://{uri}")
 
 
-def list_files(spark: SparkSession, root: str, suffixes: tuple[str, ...], limit: int | None = None) -> DataFrame:
+#: The driver lists level by level until it has this many folders for the tasks, or none is left.
+FOLDERS, LEVELS = 1000, 3
+
+
+def list_files(spark: SparkSession, root: str, suffixes: tuple[str, ...], limit: int | None = None, skip: tuple[str, ...] = NOT_DOCUMENTS) -> DataFrame:
     """(path, size) of files below root with these suffixes, path relative and sorted.
 
     Names that start with a dot and folders that start with an underscore hold articles too; Spark's
-    own listing would leave them out, so the shared file system is listed here.
+    own listing would leave them out, so the shared file system is listed here: the uppermost folders on
+    the driver, what lies below them in tasks. A root that is missing gives an empty table.
     """
-    fs, base = _file_system(root)
-    found = []
-    for info in fs.get_file_info(pafs.FileSelector(base, recursive=True, allow_not_found=True)):
-        if info.type == pafs.FileType.File and info.base_name.lower().endswith(suffixes) and info.base_name not in NOT_DOCUMENTS:
-            found.append((info.path[len(base) :].lstrip("/"), info.size))
-    found.sort()
-    return spark.createDataFrame(found[:limit] if limit else found, "path string, size long")
+    fs, base = file_system(root)
+    wanted = lambda info: info.type == pafs.FileType.File and info.base_name.lower().endswith(suffixes) and info.base_name not in skip
+    found, folders = [], [base]
+    for _ in range(LEVELS):
+        below = []
+        for folder in folders:
+            for info in fs.get_file_info(pafs.FileSelector(folder, allow_not_found=True)):
+                if info.type == pafs.FileType.Directory:
+                    below.append(info.path)
+                elif wanted(info):
+                    found.append((info.path[len(base) :].lstrip("/"), info.size))
+        folders = below
+        if not folders or len(folders) >= FOLDERS:
+            break
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = file_system(root)
+        for b in batches:
+            for folder in b.column(0).to_pylist():
+                infos = [i for i in fs.get_file_info(pafs.FileSelector(folder, recursive=True)) if wanted(i)]
+                yield pa.RecordBatch.from_arrays([pa.array([i.path[len(base) :].lstrip("/") for i in infos], pa.string()), pa.array([i.size for i in infos], pa.int64())], ["path", "size"])
+
+    files = spark.createDataFrame(found, "path string, size long")
+    if folders:
+        dealt = spark.createDataFrame([(f,) for f in folders], "folder string").repartition(min(len(folders), 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+        files = files.unionByName(dealt.mapInArrow(listed, "path string, size long"))
+    files = files.orderBy("path")
+    return files.limit(limit) if limit else files
 
 
 def articles(spark: SparkSession, root: str, suffixes: tuple[str, ...] = (".md",), limit: int | None = None, partitions: int | None = None) -> DataFrame:
     """(path, text) of article files; bytes that are not UTF-8 are replaced."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, base = _file_system(root)
+        fs, base = file_system(root)
         for b in batches:
             for path in b.column(0).to_pylist():
                 with fs.open_input_file(f"{base}/{path}") as f:

@@ -5,13 +5,17 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from collections.abc import Iterator
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.fs as pafs
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions.text import compact, human
 from textloom.operators.shards import SHARD_BYTES, greedy_shards, row_bytes
+from textloom.sources.readers import file_system, list_files
 
 ZSTD_LEVEL = 6
 
@@ -42,17 +46,38 @@ def write_shards(rows: DataFrame, folder: str, name: str, order: str, budget: in
     return sorted(final)
 
 
-def write_checksums(folder: str | Path, name: str = "SHA256SUMS") -> dict[str, str]:
-    """SHA-256 of every file below the folder but the list itself, by sorted path."""
-    root = Path(folder)
-    sums = {}
-    for p in sorted(p for p in root.rglob("*") if p.is_file() and p.name != name):
-        with p.open("rb") as f:
-            sums[p.relative_to(root).as_posix()] = hashlib.file_digest(f, "sha256").hexdigest()
-    (root / name).write_text("".join(f"{h}  {p}\n" for p, h in sums.items()))
+def write_checksums(spark: SparkSession, folder: str | Path, name: str = "SHA256SUMS") -> dict[str, str]:
+    """SHA-256 of every file below the folder but the list itself, by sorted path; files are read in tasks, a part at a time."""
+    root = str(folder)
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = file_system(root)
+        for b in batches:
+            sums = []
+            for path in b.column(0).to_pylist():
+                sha = hashlib.sha256()
+                with fs.open_input_stream(f"{base}/{path}") as f:
+                    while part := f.read(1 << 20):
+                        sha.update(part)
+                sums.append(sha.hexdigest())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sums, pa.string())], ["path", "sha256"])
+
+    files = list_files(spark, root, ("",), skip=(name,)).select("path").repartition(4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # One short line for each file of a packaged dataset.
+    sums = {r.path: r.sha256 for r in files.mapInArrow(digest, "path string, sha256 string").collect()}
+    sums = dict(sorted(sums.items()))
+    write_text(f"{root}/{name}", "".join(f"{h}  {p}\n" for p, h in sums.items()))
     return sums
 
 
+def write_text(path: str, text: str) -> None:
+    """A small file on any file system."""
+    fs, place = file_system(path)
+    fs.create_dir(place.rsplit("/", 1)[0])
+    with fs.open_output_stream(place) as f:
+        f.write(text.encode())
+
+
 def append_json_lines(path: str | Path, records: list[dict]) -> None:
     """Whole lines, one write each."""
     with open(path, "a", encoding="utf-8") as f:
@@ -94,7 +119,7 @@ def datasheet(stats: list[dict], title: str, splits: dict[str, dict] | None = No
 
 def check_publishable(folder: str | Path) -> list[str]:
     """Files that would be published; restricted ones stop everything."""
-    root = Path(folder)
-    if (root / "restricted").exists():
-        raise PermissionError(f"{root / 'restricted'} must not be published")
-    return sorted(p.relative_to(root).as_posix() for p in root.rglob("*") if p.is_file())
+    fs, base = file_system(str(folder))
+    if fs.get_file_info(f"{base}/restricted").type != pafs.FileType.NotFound:
+        raise PermissionError(f"{folder}/restricted must not be published")
+    return sorted(i.path[len(base) :].lstrip("/") for i in fs.get_file_info(pafs.FileSelector(base, recursive=True)) if i.type == pafs.FileType.File)
