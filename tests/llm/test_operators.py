@@ -489,3 +489,14 @@ def test_same_rows_as_sql(spark, name):
     got, want = both(spark, "/root/testdata/sf0.01", QUERIES[name], ORACLE_SQL[name])
     assert got[0] == want[0]
     assert got[1] == want[1]
+
+
+def test_hot_keys_are_one_literal_of_a_plan(spark):
+    rows = spark.range(5000).select(F.xxhash64("id").alias("k"))
+    hot = maps.hot_map(rows.where("k % 3 = 0"), "k")
+    marked = rows.withColumn("hot", maps.in_hot(hot, "k"))
+    plan = marked._jdf.queryExecution()
+    assert plan.analyzed().toJSON().count("expressions.Literal") < 50
+    assert "split(" not in plan.optimizedPlan().toString()  # folded once, not done for each row
+    low = {r.k % (1 << maps.HOT_BITS) for r in rows.collect() if r.k % 3 == 0}
+    assert all(r.hot == (r.k % (1 << maps.HOT_BITS) in low) for r in marked.collect())
