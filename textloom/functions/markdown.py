@@ -75,45 +75,54 @@ def strip_empty_sections(c: str | Column) -> Column:
 
 def segments(c: str | Column) -> Column:
     """Runs of table lines and of other text, in turn; blank lines between tables keep them together."""
-    marked = F.regexp_replace(col(c), rf"(?mi)^(?={TABLE_LINE})", "\u0001")
+    text = col(c)
+    marked = F.regexp_replace(text, rf"(?mi)^(?={TABLE_LINE})", "\u0001")
     run = r"(\u0001[^\n]*(?:\n(?:[^\S\n]*\n)*\u0001[^\n]*)*)"
-    parts = F.split(F.regexp_replace(marked, run, "\u0002$1\u0002"), "\u0002", -1)
-    bare = F.transform(parts, lambda x: F.regexp_replace(F.translate(x, "\u0001", ""), r"\A\n+|\n+\z", ""))
-    return F.filter(bare, lambda x: x != "")
+    parts = F.transform(F.split(F.regexp_replace(marked, run, "\u0002$1\u0002"), "\u0002", -1), lambda x: F.translate(x, "\u0001", ""))
+    parts = F.when(text.rlike(rf"(?mi)^{TABLE_LINE}"), parts).when(text.isNotNull(), F.array(text))  # most articles have no table
+    return F.filter(F.transform(parts, lambda x: F.btrim(x, F.lit("\n"))), lambda x: x != "")
 
 
 def is_table(c: str | Column) -> Column:
-    some = solid_lines(c)
-    return (F.size(some) > 0) & F.forall(some, lambda x: x.rlike(rf"(?i)\A{TABLE_LINE}"))
+    """Whether there is a line that is not blank and all such lines are a table's; the search ends at the first other one."""
+    return col(c).rlike(r"\S") & ~col(c).rlike(rf"(?dmi)^(?!{TABLE_LINE})[^\S\n]*\S")
+
+
+def prose(c: str | Column) -> Column:
+    """The segments that are no tables."""
+    return F.filter(segments(c), lambda s: ~is_table(s))
 
 
 def prose_chars(c: str | Column) -> Column:
-    prose = F.filter(segments(c), lambda s: ~is_table(s))
-    return F.aggregate(prose, F.lit(0), lambda n, s: n + F.char_length(s))
+    return _chars(prose(c))
+
+
+def _chars(parts: Column) -> Column:
+    return F.aggregate(parts, F.lit(0), lambda n, s: n + F.char_length(s))
 
 
 def table_chars(c: str | Column) -> Column:
     """Characters of tables, which are kept as they are."""
-    return F.aggregate(F.filter(segments(c), is_table), F.lit(0), lambda n, s: n + F.char_length(s))
+    return _chars(F.filter(segments(c), is_table))
 
 
-def strip_tables(c: str | Column) -> Column:
-    kept = F.transform(F.filter(segments(c), lambda s: ~is_table(s)), strip)
+def strip_tables(c: str | Column, parts: Column | None = None) -> Column:
+    """``parts``: the text's ``prose``, where it is at hand."""
+    kept = F.transform(prose(c) if parts is None else parts, strip)
     return F.array_join(F.filter(kept, lambda s: s != ""), "\n\n")
 
 
 def is_index_list(c: str | Column, least: int = INDEX_MIN_ITEMS, share: float = INDEX_LINE_FRACTION) -> Column:
-    some = solid_lines(c)
-    items = F.size(F.filter(some, lambda x: x.rlike(r"\A\s*- ")))
-    return (items >= least) & (items > share * F.size(some))
+    counted = F.struct(F.size(solid_lines(c)).alias("solid"), F.size(F.filter(lines(c), lambda x: x.rlike(r"\A\s*- "))).alias("items"))
+    return let(counted, lambda n: (n["items"] >= least) & (n["items"] > share * n["solid"]))
 
 
-def skip_reason(c: str | Column, least: int = MIN_BODY_CHARS, index_items: int = INDEX_MIN_ITEMS) -> Column:
-    """Why an article is not sent; null to send it."""
+def skip_reason(c: str | Column, least: int = MIN_BODY_CHARS, index_items: int = INDEX_MIN_ITEMS, parts: Column | None = None) -> Column:
+    """Why an article is not sent; null to send it. ``parts``: its ``prose``, where it is at hand."""
     text = col(c)
     return (
         F.when(F.char_length(text) < least, F.lit("too short")).when(is_index_list(text, index_items), F.lit("index list"))
-        .when(prose_chars(text) < least, F.lit("table only"))
+        .when((prose_chars(text) if parts is None else _chars(parts)) < least, F.lit("table only"))
     )
 
 

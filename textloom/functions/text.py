@@ -24,7 +24,7 @@ def col(c: str | Column) -> Column:
 
 def strip(c: str | Column) -> Column:
     """White space off both ends, line ends included."""
-    return F.regexp_replace(col(c), r"^\s+|\s+$", "")
+    return F.btrim(col(c), F.lit(" \t\n\v\f\r"))
 
 
 def ascii_lower(c: str | Column) -> Column:

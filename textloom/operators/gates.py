@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -120,13 +121,27 @@ class View:
 
 def eligible(body: str | Column, continuity: str | Column, view: View, stripped: Column | None = None) -> Column:
     """Why an article is not sent to a view."""
-    rest = M.strip_tables(body) if stripped is None else stripped
-    checks = [(M.skip_reason(body).isNotNull(), M.skip_reason(body)), (F.char_length(rest) < view.min_body_chars, "too short for view")]
-    if view.continuity:
-        checks.append((~F.coalesce(col(continuity), F.lit("")).isin(*view.continuity), "continuity excluded"))
-    if view.require_pattern:
-        checks.append((~rest.rlike(f"(?i){view.require_pattern}"), "pattern not found"))
-    return first_reason(*checks)
+    return F.get(eligibility(body, continuity, (view,), stripped), 0)
+
+
+def eligibility(body: str | Column, continuity: str | Column, views: Sequence[View], stripped: Column | None = None) -> Column:
+    """For each view why an article is not sent to it; the article is read once for all of them."""
+
+    def reason(m: Column, view: View) -> Column:
+        checks = [(m["skip"].isNotNull(), m["skip"]), (F.char_length(m["rest"]) < view.min_body_chars, "too short for view")]
+        if view.continuity:
+            checks.append((~F.coalesce(m["continuity"], F.lit("")).isin(*view.continuity), "continuity excluded"))
+        if view.require_pattern:
+            checks.append((~m["rest"].rlike(f"(?i){view.require_pattern}"), "pattern not found"))
+        return first_reason(*checks)
+
+    def measured(a: Column) -> Column:
+        rest = M.strip_tables(a["body"], a["prose"]) if stripped is None else a["stripped"]
+        both = F.struct(M.skip_reason(a["body"], parts=a["prose"]).alias("skip"), rest.alias("rest"), a["continuity"].alias("continuity"))
+        return T.let(both, lambda m: F.array(*[reason(m, v) for v in views]))
+
+    given = [] if stripped is None else [stripped.alias("stripped")]
+    return T.let(F.struct(col(body).alias("body"), M.prose(body).alias("prose"), col(continuity).alias("continuity"), *given), measured)
 
 
 def rewrite_reason(out: str | Column, packed: str | Column, title: str | Column, view: View, finish: Column | None = None) -> Column:

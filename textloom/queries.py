@@ -233,8 +233,8 @@ _VIEWS = (
 )
 def view_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("lang", M.strip("text").alias("body"))
-    rows = F.explode(F.array(*[F.struct(F.lit(v.name).alias("view"), F.coalesce(G.eligible("body", "lang", v), F.lit("keep")).alias("reason")) for v in _VIEWS]))
-    return docs.select(rows.alias("r")).groupBy("r.view", "r.reason").agg(F.count("*").alias("n"))
+    reasons = T.let(G.eligibility("body", "lang", _VIEWS), lambda r: F.array(*[F.struct(F.lit(v.name).alias("view"), F.coalesce(F.get(r, k), F.lit("keep")).alias("reason")) for k, v in enumerate(_VIEWS)]))
+    return docs.select(F.explode(reasons).alias("r")).groupBy("r.view", "r.reason").agg(F.count("*").alias("n"))
 
 
 _TURNS = "(select *, lag(role) over (partition by conv_id order by turn) as before, lag(text) over (partition by conv_id order by turn) as asked from conversations)"
