@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from textloom.llm import ann, bpe, html, langid, maps, minhash, packing, sharding, simhash, suffix, tokenfile, tokens
+from textloom.llm import ann, bpe, graph, html, langid, maps, minhash, packing, sharding, simhash, suffix, tokenfile, tokens
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, fp string, ids string, part string, rank string"
 
@@ -500,3 +500,18 @@ def test_hot_keys_are_one_literal_of_a_plan(spark):
     assert "split(" not in plan.optimizedPlan().toString()  # folded once, not done for each row
     low = {r.k % (1 << maps.HOT_BITS) for r in rows.collect() if r.k % 3 == 0}
     assert all(r.hot == (r.k % (1 << maps.HOT_BITS) in low) for r in marked.collect())
+
+
+def test_components_plan_does_not_grow_with_rounds(spark, monkeypatch):
+    made, joins = graph.materialize, []
+
+    def count(df):
+        joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        return made(df)
+
+    monkeypatch.setattr(graph, "materialize", count)
+    order = np.random.default_rng(3).permutation(400).tolist()  # long paths, numbered without order, take several rounds
+    edges = spark.createDataFrame([(order[k], order[k + 1]) for k in range(399) if k != 199], "a long, b long")
+    got = {r.node: r.root for r in graph.components(edges).collect()}
+    assert len(got) == 400 and len({got[x] for x in order[:200]}) == len({got[x] for x in order[200:]}) == 1 and len(set(got.values())) == 2
+    assert len(joins) > 7 and max(joins) <= 2

@@ -57,13 +57,14 @@ def components(edges: DataFrame) -> DataFrame:
     if not taken:
         return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
-    # From the last round, which has the fewest nodes, back to the first, which has all.
-    found = taken[-1].select("node", F.col("took").alias("root"))
-    for step in taken[-2::-1]:
+    # From the last round, which has the fewest nodes, back to the first, which has all; each in a plan of its own, so that the driver's plans do not grow with the rounds.
+    found = taken.pop().select("node", F.col("took").alias("root"))
+    while taken:
+        step = taken.pop()
         hubs = hot_map(step.groupBy("took").count().where(F.col("count") > maps.HOT_ROWS), "took")
         later = found.select(F.col("node").alias("took"), "root")
-        found = joined(step, later, ["took"], hubs, "took", F.xxhash64("node"), "left").select("node", F.coalesce("root", "took").alias("root"))
-    return materialize(found)
+        found = materialize(joined(step, later, ["took"], hubs, "took", F.xxhash64("node"), "left").select("node", F.coalesce("root", "took").alias("root")))
+    return found
 
 
 def named(nodes: DataFrame, roots: DataFrame, node: str, least: Column) -> DataFrame:
